@@ -1,5 +1,8 @@
 """DuckDB SQL with the expected result of every deterministic operator."""
 
-from oracle import finance, star
+from oracle import demand, disruption, finance, star, stock
 
-ORACLES: dict[str, str] = {**star.ORACLES, **finance.ORACLES}
+ORACLES: dict[str, str] = {
+    **star.ORACLES, **finance.ORACLES, **demand.ORACLES, **stock.ORACLES,
+    **disruption.ORACLES,
+}

@@ -50,7 +50,7 @@ CASTS = {
     "": "{c}",
     "b": "CAST({c} AS BIGINT) AS {c}",
     "i": "CAST({c} AS INTEGER) AS {c}",
-    "d": "ROUND(CAST({c} AS DOUBLE) + SIGN(CAST({c} AS DOUBLE)) * 1e-9, 6) AS {c}",
+    "d": "ROUND(CAST({c} AS DOUBLE) + SIGN(CAST({c} AS DOUBLE)) * 1e-9, 6) + 0.0 AS {c}",
     "t": "CAST({c} AS DATE) AS {c}",
 }
 

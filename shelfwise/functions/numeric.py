@@ -24,7 +24,8 @@ def ratio_or_zero(numerator, denominator) -> Column:
 def round_to(value, places: int) -> Column:
     """Round half away from zero; the nudge makes decimal ties independent of the engine."""
     column = as_double(value)
-    return F.round(column + F.signum(column) * F.lit(1e-9), places)
+    # Adding zero turns a negative zero into zero.
+    return F.round(column + F.signum(column) * F.lit(1e-9), places) + F.lit(0.0)
 
 
 def right_closed(value, steps: list[tuple[float, str]], above: str) -> Column:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.numeric import round_to
-from shelfwise.functions.storage import new_folder
-from shelfwise.operators import business, etl, finance, finance_star, quality
-from shelfwise.plans.workspace import Workspace, workspace
+from shelfwise.functions.ordering import pct_rank
+from shelfwise.functions.storage import materialise, new_folder
+from shelfwise.operators import (
+    actions, anomaly, attribution, business, cluster_scores, clustering, disruption, etl, features,
+    finance, finance_star, forecast, inventory, quality, supplier, temporal, validation, views)
+from shelfwise.plans.workspace import QUERY_INITS, QUERY_PARAMS, Workspace, workspace
 from shelfwise.sources import retail
-from shelfwise.sources.schema import FACT, NUMERIC
+from shelfwise.sources.schema import ABC_CLASSES, FACT, NUMERIC, RISK_LEVELS
 from shelfwise.sources.testdata import daily_fact_from_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,3 +183,392 @@ for _operator in (
     finance.abc_analysis, finance.supplier_stockout_impact,
 ):
     _on_fact(_operator)
+
+
+# --- demand features, forecasts and their evaluation -----------------------------------------
+
+for _operator in (features.daily_demand, features.daily_demand_drivers,
+                  features.network_daily_demand, features.pair_coverage):
+    _on_fact(_operator)
+
+
+@query("demand_lags")
+def _(w: Workspace) -> DataFrame:
+    return features.demand_lags(features.daily_demand(w.fact))
+
+
+@query("demand_rolling")
+def _(w: Workspace) -> DataFrame:
+    return features.demand_rolling(features.daily_demand(w.fact))
+
+
+@query("calendar_features")
+def _(w: Workspace) -> DataFrame:
+    return features.calendar_features(features.daily_demand(w.fact))
+
+
+@query("forecast_training_set")
+def _(w: Workspace) -> DataFrame:
+    return features.forecast_training_set(features.daily_demand_drivers(w.fact))
+
+
+@query("temporal_split")
+def _(w: Workspace) -> DataFrame:
+    return features.temporal_split(w.training_set).select(
+        "store", "product", "date", "demand", "split")
+
+
+@query("forecast_metrics")
+def _(w: Workspace) -> DataFrame:
+    lagged = features.demand_lags(features.daily_demand(w.fact), (7,)).dropna()
+    test = features.temporal_split(lagged).where(F.col("split") == "test")
+    return forecast.forecast_metrics(test, "demand", "lag_7", forecast.SEASONAL_NAIVE)
+
+
+@query("naive_baselines")
+def _(w: Workspace) -> DataFrame:
+    return forecast.naive_baselines(features.daily_demand(w.fact))
+
+
+def _trees_used(df: DataFrame, trees: int) -> DataFrame:
+    return df.withColumn("trees", F.lit(trees))
+
+
+@query("boosted_forecast")
+def _(w: Workspace) -> DataFrame:
+    train, test = w.split
+    return _trees_used(forecast.boosted_forecast(w.model, train, test), QUERY_PARAMS.trees)
+
+
+@query("test_predictions")
+def _(w: Workspace) -> DataFrame:
+    return forecast.test_predictions(w.model, w.split[1])
+
+
+@query("recursive_forecast")
+def _(w: Workspace) -> DataFrame:
+    return forecast.recursive_forecast(w.trees, w.drivers)
+
+
+@query("recursive_forecast_naive")
+def _(w: Workspace) -> DataFrame:
+    return forecast.recursive_forecast(forecast.SeasonalNaive(),
+                                       features.daily_demand_drivers(w.fact))
+
+
+@query("walk_forward_folds")
+def _(w: Workspace) -> DataFrame:
+    daily = features.network_daily_demand(w.fact)
+    return features.walk_forward_folds(features.demand_features(daily, keys=()).dropna())
+
+
+@query("walk_forward_validation")
+def _(w: Workspace) -> DataFrame:
+    return _trees_used(forecast.walk_forward_validation(w.network, QUERY_PARAMS),
+                       QUERY_PARAMS.trees)
+
+
+@query("feature_attribution")
+def _(w: Workspace) -> DataFrame:
+    sample = attribution.newest_rows(w.split[0])
+    return _trees_used(attribution.feature_attribution(w.trees, sample), QUERY_PARAMS.trees)
+
+
+# --- stock policy ----------------------------------------------------------------------------
+
+_on_fact(inventory.inventory_profile)
+
+
+@query("forecast_kpi")
+def _(w: Workspace) -> DataFrame:
+    return inventory.forecast_kpi(w.naive_forecast)
+
+
+@query("inventory_policy")
+def _(w: Workspace) -> DataFrame:
+    return inventory.inventory_policy(inventory.inventory_profile(w.fact))
+
+
+@query("economic_order_qty")
+def _(w: Workspace) -> DataFrame:
+    return inventory.economic_order_qty(
+        inventory.inventory_policy(inventory.inventory_profile(w.fact)))
+
+
+@query("inventory_status")
+def _(w: Workspace) -> DataFrame:
+    return inventory.inventory_status(inventory.economic_order_qty(
+        inventory.inventory_policy(inventory.inventory_profile(w.fact))))
+
+
+@query("inventory_optimization")
+def _(w: Workspace) -> DataFrame:
+    return inventory.inventory_optimization(w.fact)
+
+
+@query("inventory_status_summary")
+def _(w: Workspace) -> DataFrame:
+    return inventory.inventory_status_summary(w.inventory)
+
+
+# --- supplier risk and temporal disruption ---------------------------------------------------
+
+_on_fact(supplier.supplier_metrics)
+
+
+@query("supplier_risk_score")
+def _(w: Workspace) -> DataFrame:
+    return supplier.supplier_risk_score(supplier.supplier_metrics(w.fact))
+
+
+@query("supplier_risk_report")
+def _(w: Workspace) -> DataFrame:
+    return supplier.supplier_risk(w.fact)
+
+
+_on_fact(temporal.temporal_daily)
+
+
+@query("temporal_baseline")
+def _(w: Workspace) -> DataFrame:
+    return temporal.temporal_baseline(temporal.temporal_daily(w.fact))
+
+
+@query("temporal_pct_change")
+def _(w: Workspace) -> DataFrame:
+    return temporal.temporal_pct_change(
+        temporal.temporal_baseline(temporal.temporal_daily(w.fact)))
+
+
+@query("disruption_signal")
+def _(w: Workspace) -> DataFrame:
+    return temporal.disruption_signal(temporal.temporal_pct_change(
+        temporal.temporal_baseline(temporal.temporal_daily(w.fact))))
+
+
+@query("disruption_stage")
+def _(w: Workspace) -> DataFrame:
+    return temporal.temporal_disruption(w.fact)
+
+
+# --- actions and impact ----------------------------------------------------------------------
+
+@query("action_priorities")
+def _(w: Workspace) -> DataFrame:
+    return actions.action_priorities(w.inventory, w.risk)
+
+
+@query("priority_counts")
+def _(w: Workspace) -> DataFrame:
+    return actions.priority_counts(w.actions)
+
+
+@query("latest_state")
+def _(w: Workspace) -> DataFrame:
+    return actions.latest_state(w.fact).select(
+        "store", "product", "date", "closing_stock", "unit_price", "current_stockout")
+
+
+@query("business_impact")
+def _(w: Workspace) -> DataFrame:
+    return actions.business_impact(w.fact, w.inventory)
+
+
+# --- validation rules ------------------------------------------------------------------------
+
+@query("validate_finance")
+def _(w: Workspace) -> DataFrame:
+    return validation.validate_finance({"finance_summary": finance.finance_summary(w.fact)}
+                                       ).drop("detail")
+
+
+@query("validate_abc_impact")
+def _(w: Workspace) -> DataFrame:
+    pairs = features.pair_coverage(w.fact).scalar()
+    return validation.validate_abc_impact(
+        {"abc_analysis": finance.abc_analysis(w.fact),
+         "business_impact": actions.business_impact(w.fact, w.inventory)}, pairs).drop("detail")
+
+
+# --- dashboard queries -----------------------------------------------------------------------
+
+@query("kpi_strip_without_disruption")
+def _(w: Workspace) -> DataFrame:
+    return views.kpi_strip(w.actions, w.risk)
+
+
+@query("action_view")
+def _(w: Workspace) -> DataFrame:
+    return views.action_view(w.actions, store="ASIA", priority="MEDIUM")
+
+
+@query("level_counts")
+def _(w: Workspace) -> DataFrame:
+    named = lambda df, column, levels: views.level_counts(df, column, levels).withColumn(
+        "measure", F.lit(column))
+    return named(finance.abc_analysis(w.fact), "abc_class", ABC_CLASSES).unionByName(
+        named(w.risk, "risk_level", RISK_LEVELS))
+
+
+@query("score_histogram")
+def _(w: Workspace) -> DataFrame:
+    scored = supplier.supplier_metrics(w.fact).select(supplier.risk_index().alias("risk"))
+    return views.score_histogram(scored, "risk")
+
+
+@query("disruption_timeline")
+def _(w: Workspace) -> DataFrame:
+    chosen = w.fact.agg(F.min(F.struct("supplier", "product")).alias("key")).first()["key"]
+    return views.disruption_timeline(temporal.temporal_disruption(w.fact), *chosen)
+
+
+@query("forecast_pairs")
+def _(w: Workspace) -> DataFrame:
+    return views.forecast_pairs(w.naive_forecast)
+
+
+@query("forecast_totals")
+def _(w: Workspace) -> DataFrame:
+    return views.forecast_totals(w.naive_forecast)
+
+
+@query("model_benchmark")
+def _(w: Workspace) -> DataFrame:
+    baselines = forecast.naive_baselines(features.daily_demand(w.fact))
+    return views.model_benchmark(baselines, baselines)
+
+
+@query("top_exposure")
+def _(w: Workspace) -> DataFrame:
+    return views.top_exposure(finance.supplier_stockout_impact(w.fact))
+
+
+@query("top_revenue_products")
+def _(w: Workspace) -> DataFrame:
+    return views.top_revenue_products(finance.abc_analysis(w.fact))
+
+
+# --- supplier disruption ---------------------------------------------------------------------
+
+_on_fact(disruption.supplier_features)
+
+
+@query("scale_features")
+def _(w: Workspace) -> DataFrame:
+    return disruption.scale_features(disruption.supplier_features(w.fact))
+
+
+def _by_feature(w: Workspace) -> DataFrame:
+    """Three supplier groups along one scaled feature each: labelings without a random start."""
+    def labelled(name: str) -> DataFrame:
+        value = F.col("vec")[disruption.FEATURES.index(name)]
+        label = F.when(value < -0.5, 0).when(value < 0.5, 1).otherwise(2)
+        return w.vectors.select(F.lit(name).alias("run"), "entity", "vec", label.alias("label"))
+
+    return reduce(DataFrame.unionByName, [
+        labelled(n) for n in ("average_lead_time", "on_time_percentage", "defect_percentage",
+                              "demand_mean")])
+
+
+for _score in (cluster_scores.silhouette, cluster_scores.davies_bouldin,
+               cluster_scores.calinski_harabasz):
+    query(_score.__name__)(lambda w, score=_score: score(_by_feature(w)))
+
+
+@query("kmeans_sweep")
+def _(w: Workspace) -> DataFrame:
+    ks = list(range(2, min(8, w.vectors.count() - 1) + 1))
+    return clustering.kmeans_sweep(w.vectors, ks)
+
+
+@query("hierarchical_clusters")
+def _(w: Workspace) -> DataFrame:
+    return clustering.hierarchical_clusters(w.vectors)
+
+
+@query("dbscan_clusters")
+def _(w: Workspace) -> DataFrame:
+    needed = clustering.min_samples_for(w.vectors.count())
+    return clustering.dbscan_clusters(w.vectors, min_samples=needed)
+
+
+@query("compare_clustering")
+def _(w: Workspace) -> DataFrame:
+    return clustering.compare_clustering(w.vectors, QUERY_INITS)
+
+
+@query("choose_best")
+def _(w: Workspace) -> DataFrame:
+    labelled = _by_feature(w)
+    shape = labelled.groupBy("run").agg(F.count_distinct("label").alias("clusters"))
+    results = cluster_scores.cluster_scores(labelled).join(shape, "run").select(
+        F.lit("Hierarchical").alias("model"),
+        F.concat(F.lit("feature="), "run").alias("parameters"), "clusters", "silhouette",
+        "davies_bouldin", "calinski_harabasz")
+    results = materialise(results)
+    chosen = lambda order: clustering.choose_best(results, order).withColumn(
+        "choice_order", F.lit(order))
+    return chosen("best").unionByName(chosen("reference"))
+
+
+@query("fit_cluster")
+def _(w: Workspace) -> DataFrame:
+    return clustering.fit_cluster(w.vectors, "Hierarchical", 4)
+
+
+@query("pca_2d")
+def _(w: Workspace) -> DataFrame:
+    return disruption.pca_2d(w.vectors)
+
+
+@query("isolation_forest")
+def _(w: Workspace) -> DataFrame:
+    return anomaly.isolation_forest(w.vectors)
+
+
+@query("pct_rank")
+def _(w: Workspace) -> DataFrame:
+    pairs = w.fact.groupBy("store", "product").agg(F.sum("stockout").alias("stockout_days"))
+    return pct_rank(pairs, "stockout_days", keys=["store", "product"])
+
+
+@query("disruption_score")
+def _(w: Workspace) -> DataFrame:
+    return disruption.disruption_score(disruption.supplier_features(w.fact), "stockout_rate")
+
+
+# --- the whole chain and its validation ------------------------------------------------------
+
+@query("disruption_detection")
+def _(w: Workspace) -> DataFrame:
+    return w.results["disruption_detection"]
+
+
+@query("kpi_strip")
+def _(w: Workspace) -> DataFrame:
+    return views.kpi_strip(w.results["action_priorities"], w.results["supplier_risk"],
+                           w.results["disruption_detection"])
+
+
+@query("validate_schemas")
+def _(w: Workspace) -> DataFrame:
+    return validation.validate_schemas(w.spark, w.results)
+
+
+def _pairs(w: Workspace) -> int:
+    return features.pair_coverage(w.fact).first()["sku_store_pairs"]
+
+
+@query("validate_forecast")
+def _(w: Workspace) -> DataFrame:
+    return validation.validate_forecast(w.results, _pairs(w))
+
+
+@query("validate_disruption")
+def _(w: Workspace) -> DataFrame:
+    return validation.validate_disruption(w.results)
+
+
+@query("validation_report")
+def _(w: Workspace) -> DataFrame:
+    return validation.validation_report(w.spark, w.results, _pairs(w))

@@ -6,10 +6,16 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.functions.storage import new_folder, write_and_read
-from shelfwise.operators import etl
+from shelfwise.functions.storage import materialise, new_folder, write_and_read
+from shelfwise.operators import actions, disruption, etl, features, forecast, inventory, supplier
+from shelfwise.plans.pipeline import run_pipeline
+from shelfwise.operators.trees import TreeArrays, export_trees
 from shelfwise.sources.testdata import daily_fact_from_orders
 
+# The full model has 400 trees; the queries fit a small one and say so in their results.
+QUERY_PARAMS = forecast.BoostParams(trees=20)
+QUERY_INITS = 20
+
 
 class Workspace:
     """The daily fact and the star tables, written once as parquet and scanned from there."""
@@ -29,6 +35,62 @@ class Workspace:
     def star(self) -> etl.Star:
         return etl.reload_star(self.fact, new_folder(self.spark, "star"))
 
+    @cached_property
+    def drivers(self) -> DataFrame:
+        """Daily demand with its drivers, one row per pair and day."""
+        return write_and_read(features.daily_demand_drivers(self.fact), "daily-drivers")
+
+    @cached_property
+    def training_set(self) -> DataFrame:
+        return write_and_read(features.forecast_training_set(self.drivers), "training-set")
+
+    @cached_property
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        return features.train_and_test(self.training_set)
+
+    @cached_property
+    def model(self):
+        return forecast.fit_boosted(self.split[0], QUERY_PARAMS)
+
+    @cached_property
+    def trees(self) -> TreeArrays:
+        return export_trees(self.spark, self.model)
+
+    @cached_property
+    def network(self) -> DataFrame:
+        """Network features, one row per day with a full history."""
+        daily = features.network_daily_demand(self.fact)
+        return materialise(features.demand_features(daily, keys=()).dropna())
+
+    @cached_property
+    def naive_forecast(self) -> DataFrame:
+        return write_and_read(
+            forecast.recursive_forecast(forecast.SeasonalNaive(), self.drivers), "naive-forecast")
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        """Stock policy on the fallback forecast, which needs no fitted model."""
+        return write_and_read(inventory.inventory_optimization(self.fact), "inventory")
+
+    @cached_property
+    def risk(self) -> DataFrame:
+        return write_and_read(supplier.supplier_risk(self.fact), "supplier-risk")
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return write_and_read(actions.action_priorities(self.inventory, self.risk), "actions")
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        """Scaled supplier vectors (entity, vec)."""
+        return materialise(disruption.supplier_vectors(disruption.supplier_features(self.fact)))
+
+    @cached_property
+    def results(self) -> dict[str, DataFrame]:
+        """Every result table of the whole chain, with the small model."""
+        return run_pipeline(self.fact, new_folder(self.spark, "results"), QUERY_PARAMS,
+                            QUERY_INITS, check=False)
+
 
 _open: dict[tuple[str, str], Workspace] = {}
 
