@@ -20,12 +20,6 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; later stages survive a lost executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder for a written table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -36,3 +30,12 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute once into the shared folder; later stages survive a lost executor.
+
+    A written table cuts the plan completely. A checkpoint keeps the constraints the optimizer
+    derived for the old plan, and in a loop of joins these double every round.
+    """
+    return write_and_read(df, "step")

@@ -10,16 +10,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.functions.jobs import side_by_side
 from shelfwise.functions.ordering import number_rows, percentile_ranks
 from shelfwise.functions.storage import materialise
 from shelfwise.operators.cluster_scores import cluster_scores
+from shelfwise.operators.kmeans import assign_labels, fit_centers
 from shelfwise.operators.pairs import BLOCK, blocks_needed, compare_blocks, distances
 
 # Fixed parameters of the comparison.
@@ -46,22 +44,8 @@ def _number_labels(members: DataFrame) -> DataFrame:
 
 def kmeans_sweep(vectors: DataFrame, ks: list[int], n_init: int = INITS,
                  seed: int = SEED) -> DataFrame:
-    """Best of ``n_init`` seeded fits for each k, by training cost; runs are named ``k=<k>``."""
-    spark = vectors.sparkSession
-    data = materialise(vectors.select("entity", array_to_vector("vec").alias("features")))
-
-    def fit(job: tuple[int, int]):
-        k, start = job
-        model = KMeans(k=k, seed=seed + start, maxIter=100, tol=1e-4).fit(data)
-        return k, model.summary.trainingCost, start, model
-
-    fits = side_by_side(spark, fit, [(k, start) for k in ks for start in range(n_init)])
-    labelled = []
-    for k in ks:
-        best = min((f for f in fits if f[0] == k), key=lambda f: (f[1], f[2]))[3]
-        labelled.append(best.transform(data).select(
-            F.lit(f"k={k}").alias("run"), "entity", F.col("prediction").alias("label")))
-    return reduce(DataFrame.unionByName, labelled)
+    """Best of ``n_init`` starts for each k, by within-cluster cost; runs are named ``k=<k>``."""
+    return assign_labels(vectors, fit_centers(vectors, ks, n_init, seed))
 
 
 # --- agglomerative clustering ----------------------------------------------------------------
@@ -70,20 +54,20 @@ def _ward_rows(state: DataFrame, width: int) -> DataFrame:
     """Ward needs only centroids: one row per cluster."""
     return state.where(F.col("run") == "ward").groupBy("run", "cluster").agg(
         F.array(*[F.avg(F.col("vec")[i]) for i in range(width)]).alias("vec"),
-        F.max("size").alias("size")).select(
-        "run", F.col("cluster").alias("entity"), "vec", "cluster", "size",
+        F.max("size").alias("size"), F.max("top").alias("top")).select(
+        "run", F.col("cluster").alias("entity"), "vec", "cluster", "size", "top",
         F.lit(1).cast("long").alias("members"))
 
 
 def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
-    """Nearest other cluster of every cluster: (run, cluster, value, other).
+    """Nearest other cluster of every cluster, with the size and last merge height of both.
 
     Blocks are made of clusters; one with more than ``BLOCK`` members is spread over several.
     Two clusters that are whole in a pair of blocks are settled there, and only the nearest
     leaves. A pair with a spread cluster leaves as one partial sum or maximum.
     """
     rows = state.where(F.col("run") != "ward").select(
-        "run", "entity", "vec", "cluster", "size", F.col("size").alias("members"))
+        "run", "entity", "vec", "cluster", "size", "top", F.col("size").alias("members"))
     rows = rows.unionByName(_ward_rows(state, width))
     pieces = F.ceil(F.col("members") / BLOCK)
     piece = F.when(pieces > 1, F.pmod(F.xxhash64("entity"), pieces)).otherwise(F.lit(0))
@@ -94,6 +78,7 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
         (a, a_at), (b, b_at) = (np.unique(side["cluster"].to_numpy(), return_index=True)
                                 for side in (x, y))
         a_size, b_size = x["size"].to_numpy()[a_at], y["size"].to_numpy()[b_at]
+        a_top, b_top = x["top"].to_numpy()[a_at], y["top"].to_numpy()[b_at]
         combine = np.maximum if linkage == "complete" else np.add
         value = combine.reduceat(combine.reduceat(distances(x, y), a_at, axis=0), b_at, axis=1)
         if linkage == "ward":
@@ -108,41 +93,47 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
         best = final.argmin(axis=1)  # the first of equals is the smallest name
         found = np.isfinite(final[np.arange(a.size), best])
         open_a, open_b = np.nonzero(~settled & other)
+        # Nearest settled pairs first, then every pair with a spread cluster.
+        i = np.concatenate([np.flatnonzero(found), open_a])
+        j = np.concatenate([best[found], open_b])
+        partial = np.repeat([False, True], [found.sum(), open_a.size])
         return pd.DataFrame({
-            "run": linkage,
-            "cluster": np.concatenate([a[found], a[open_a]]),
-            "other": np.concatenate([b[best[found]], b[open_b]]),
-            "value": np.concatenate([final[found, best[found]], value[open_a, open_b]]),
-            "partial": np.repeat([False, True], [found.sum(), open_a.size]),
-            "pairs": np.concatenate([np.ones(found.sum()),
-                                     (a_size[open_a] * b_size[open_b]).astype(float)])})
+            "run": linkage, "cluster": a[i], "other": b[j],
+            "value": np.where(partial, value[i, j], final[i, j]), "partial": partial,
+            "size": a_size[i], "other_size": b_size[j],
+            "top": np.maximum(a_top[i], b_top[j])})
 
     found = compare_blocks(
         rows, rows, blocks, nearest,
-        "run string, cluster string, other string, value double, partial boolean, pairs double",
+        "run string, cluster string, other string, value double, partial boolean, "
+        "size long, other_size long, top double",
         key=F.xxhash64("cluster", piece))
-    total = F.when(F.col("run") == "complete", F.max("value")).otherwise(
-        F.sum("value") / F.max("pairs"))
-    # A settled pair occurs once, so it passes through the same aggregation unchanged.
-    merged = found.groupBy("run", "cluster", "other", "partial").agg(
-        F.round(total, 10).alias("value"))
-    return merged.groupBy("run", "cluster").agg(
-        F.min(F.struct("value", "other")).alias("near")).select("run", "cluster", "near.*")
-
-
-def _merges(near: DataFrame) -> DataFrame:
-    """Clusters that are each other's nearest: (run, keep, gone, value)."""
-    back = near.select("run", F.col("cluster").alias("other"), F.col("other").alias("cluster"),
-                       F.col("value").alias("_back"))
-    mutual = near.join(back, ["run", "cluster", "other"]).where(
-        F.col("cluster") < F.col("other")).select(
-        "run", F.col("cluster").alias("keep"), F.col("other").alias("gone"), "value")
-    # The closest pair of a run always merges, even when sums differ in the last digit by side.
-    closest = near.groupBy("run").agg(F.min(F.struct(
-        "value", F.least("cluster", "other").alias("keep"),
-        F.greatest("cluster", "other").alias("gone"))).alias("m")).select("run", "m.*")
-    stuck = closest.join(mutual.select("run").distinct(), "run", "left_anti")
-    return mutual.unionByName(stuck.select("run", "keep", "gone", "value"))
+    # A settled pair occurs once and passes through unchanged; partial ones are completed here.
+    average = F.col("partial") & (F.col("run") == "average")
+    total = F.when(average, F.sum("value") / (F.col("size") * F.col("other_size"))).otherwise(
+        F.max("value"))
+    pair = ["run", "cluster", "other", "partial", "size", "other_size", "top"]
+    merged = found.groupBy(*pair).agg(F.round(total, 10).alias("value"))
+    near = F.struct("value", "other", (F.col("size") + F.col("other_size")).alias("size"), "top")
+    return merged.groupBy("run", "cluster").agg(F.min(near).alias("near")).select(
+        "run", "cluster", "near.*")
+
+
+def _mutual(near: DataFrame) -> DataFrame:
+    """Clusters that are each other's nearest: (run, keep, gone, height, size)."""
+    back = near.select("run", F.col("cluster").alias("other"), F.col("other").alias("cluster"))
+    return near.where(F.col("cluster") < F.col("other")).join(
+        back, ["run", "cluster", "other"], "left_semi").select(
+        "run", F.col("cluster").alias("keep"), F.col("other").alias("gone"),
+        F.greatest("value", "top").alias("height"), "size")
+
+
+def _closest(near: DataFrame) -> DataFrame:
+    """The closest pair of each run, in the same form."""
+    pair = F.struct("value", F.least("cluster", "other").alias("keep"),
+                    F.greatest("cluster", "other").alias("gone"), "top", "size")
+    return near.groupBy("run").agg(F.min(pair).alias("m")).select(
+        "run", "m.keep", "m.gone", F.greatest("m.value", "m.top").alias("height"), "m.size")
 
 
 def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) -> DataFrame:
@@ -162,24 +153,21 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
     first = state.first()
     width = len(first["vec"]) if first else 0
     blocks = blocks_needed(state)
-    turn = 0
+    turn, before = 0, None
     while True:
         near = materialise(_nearest_clusters(state, width, blocks))
-        if near.isEmpty():
+        clusters = near.count()
+        if clusters == 0:
             break
         turn += 1
-        clusters = state.groupBy("run", "cluster").agg(
-            F.max("size").alias("size"), F.max("top").alias("top"))
-        side = lambda name: clusters.select(
-            "run", F.col("cluster").alias(name), F.col("size").alias(f"{name}_size"),
-            F.col("top").alias(f"{name}_top"))
-        merges = _merges(near).join(side("keep"), ["run", "keep"]).join(
-            side("gone"), ["run", "gone"])
+        # Sums of a spread cluster may differ in the last digit by side. Should that leave no
+        # mutual pair, the closest pair merges, which is right in any case.
+        merges = _closest(near) if clusters == before else _mutual(near)
+        before = clusters
         moved = merges.select(
             "run", F.explode(F.array("keep", "gone")).alias("cluster"),
-            F.col("keep").alias("_into"),
-            (F.col("keep_size") + F.col("gone_size")).alias("_size"),
-            F.greatest("value", "keep_top", "gone_top").alias("_top"))
+            F.col("keep").alias("_into"), F.col("size").alias("_size"),
+            F.col("height").alias("_top"))
         step = F.struct(F.col("_top").alias("height"), F.lit(turn).alias("turn"),
                         F.col("_into").alias("cluster"))
         state = materialise(state.join(moved, ["run", "cluster"], "left").select(

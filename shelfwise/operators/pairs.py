@@ -43,7 +43,9 @@ def compare_blocks(left: DataFrame, right: DataFrame, blocks: int,
     own = F.pmod(F.xxhash64("entity") if key is None else key, F.lit(blocks)).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     a = left.withColumn("_a", own).withColumn("_b", others)
-    b = right.withColumn("_b", own).withColumn("_a", others)
+    # Fresh aliases: both sides may stem from the same table.
+    b = right.withColumn("_b", own).withColumn("_a", others).select(
+        *[F.col(c).alias(c) for c in [*right.columns, "_a", "_b"]])
 
     def pair(keys, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:

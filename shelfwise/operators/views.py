@@ -70,8 +70,9 @@ def score_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     ]).alias("edges"), F.when(F.col("flat"), F.col("lo")).otherwise(
         F.col("lo") - 0.001 * (F.col("hi") - F.col("lo"))).alias("first"))
     inner = F.slice(edges.select("edges").scalar(), 2, bins - 1)
-    place = F.size(F.filter(inner, lambda edge: edge < F.col(column))) + 1
-    counted = df.where(F.col(column).isNotNull()).groupBy(place.alias("bin")).agg(
+    place = F.size(F.filter("_edges", lambda edge: edge < F.col(column))) + 1
+    known = df.where(F.col(column).isNotNull()).withColumn("_edges", inner)
+    counted = known.groupBy(place.alias("bin")).agg(
         F.count(F.lit(1)).alias("found"))
     every = edges.select(
         "edges", "first", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
