@@ -33,7 +33,7 @@ VECTORS = SCALED + f""",
 points AS (SELECT supplier AS entity, [{', '.join(NAMES)}] AS vec FROM scaled)"""
 
 # Deterministic labelings: three groups along one scaled feature each.
-BY_FEATURE = {"average_lead_time": 1, "on_time_percentage": 3, "defect_percentage": 4,
+BY_FEATURE = {"average_lead_time": 1, "on_time_percentage": 3, "fill_percentage": 5,
               "demand_mean": 7}
 LABELLED = VECTORS + ",\nlabelled AS (" + " UNION ALL ".join(
     f"SELECT '{name}' AS run, entity, vec, CASE WHEN vec[{i}] < -0.5 THEN 0 "

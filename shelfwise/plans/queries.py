@@ -466,7 +466,7 @@ def _by_feature(w: Workspace) -> DataFrame:
         return w.vectors.select(F.lit(name).alias("run"), "entity", "vec", label.alias("label"))
 
     return reduce(DataFrame.unionByName, [
-        labelled(n) for n in ("average_lead_time", "on_time_percentage", "defect_percentage",
+        labelled(n) for n in ("average_lead_time", "on_time_percentage", "fill_percentage",
                               "demand_mean")])
 
 

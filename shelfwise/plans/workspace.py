@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.functions.jobs import ship_package
 from shelfwise.functions.storage import materialise, new_folder, write_and_read
 from shelfwise.operators import actions, disruption, etl, features, forecast, inventory, supplier
 from shelfwise.plans.pipeline import run_pipeline
@@ -98,5 +99,6 @@ _open: dict[tuple[str, str], Workspace] = {}
 def workspace(spark: SparkSession, folder: str) -> Workspace:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _open:
+        ship_package(spark)
         _open[key] = Workspace(spark, folder)
     return _open[key]
