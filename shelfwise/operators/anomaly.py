@@ -79,7 +79,7 @@ def isolation_forest(vectors: DataFrame, n_trees: int = TREES, seed: int = SEED)
     size = min(SAMPLE, n)
     limit = ceil(log2(max(size, 2)))
 
-    def grow(key, sample: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
         rows = np.stack(sample.sort_values("_n")["vec"].to_numpy())
         nodes = _grow(rows, np.random.default_rng([seed, int(key[0])]), limit)
         return pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "value"]

@@ -47,7 +47,7 @@ def compare_blocks(left: DataFrame, right: DataFrame, blocks: int,
     b = right.withColumn("_b", own).withColumn("_a", others).select(
         *[F.col(c).alias(c) for c in [*right.columns, "_a", "_b"]])
 
-    def pair(keys, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+    def pair(keys: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:
             return pd.DataFrame()
         return reduce_pair(x, y, int(keys[1]), int(keys[2]))
