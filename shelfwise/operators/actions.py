@@ -53,7 +53,10 @@ def priority_counts(actions: DataFrame) -> DataFrame:
 
 
 def latest_state(fact: DataFrame) -> DataFrame:
-    """The newest row of each pair, found by partial aggregation instead of a sort."""
+    """The newest row of each pair.
+
+    Each task reduces its own rows first, so one row per pair and task is shuffled.
+    """
     rest = [c for c in fact.columns if c not in (*SERIES, "date")]
     newest = fact.groupBy(*SERIES).agg(F.max(F.struct("date", *rest)).alias("row"))
     return newest.select(*SERIES, "row.*").withColumn(
@@ -69,14 +72,15 @@ def business_impact(fact: DataFrame, inventory: DataFrame | None = None) -> Data
     # One pass: history sums and the newest stock come from the same per-pair aggregation.
     pairs = fact.groupBy(*SERIES).agg(
         F.sum(stockout).alias("stockouts"), F.sum(F.col("lost_sales") * price).alias("lost"),
-        F.max_by(F.struct("closing_stock", "unit_price"), "date").alias("now"))
-    stock = F.col("now.closing_stock")
+        F.max_by("closing_stock", "date").alias("stock"),
+        F.max_by("unit_price", "date").alias("price"))
+    stock = F.col("stock")
     kpis = pairs.agg(
         F.count(F.lit(1)).alias("total_sku_store_pairs"),
         F.count_if(stock <= 0).alias("current_stockout_pairs"),
         F.sum("stockouts").alias("historical_stockout_days"),
         F.round(F.sum("lost"), 2).alias("historical_lost_sales_value"),
-        F.round(F.sum(stock * F.col("now.unit_price") * F.lit(Decimal("0.60"))), 2)
+        F.round(F.sum(stock * F.col("price") * F.lit(Decimal("0.60"))), 2)
         .alias("current_inventory_value"))
     if inventory is None:
         return kpis

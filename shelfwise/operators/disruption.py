@@ -114,14 +114,17 @@ def disruption_score(features: DataFrame, anomaly_column: str) -> DataFrame:
 
 
 def disruption_detection(fact: DataFrame, n_init: int = INITS, n_trees: int = TREES,
-                         order: str = "best") -> dict[str, DataFrame]:
+                         order: str = "best", comparison: DataFrame | None = None,
+                         ) -> dict[str, DataFrame]:
     """The supplier table, the model comparison and the projection.
 
-    ``order`` is how the clustering model is chosen, see ``choose_best``.
+    ``order`` is how the clustering model is chosen, see ``choose_best``. A comparison made
+    before on the same fact may be handed in.
     """
     features = materialise(supplier_features(fact))
     vectors = materialise(supplier_vectors(features))
-    comparison = materialise(compare_clustering(vectors, n_init))
+    if comparison is None:
+        comparison = materialise(compare_clustering(vectors, n_init))
     choice = choose_best(comparison, order).first()  # one row
     clusters = materialise(fit_cluster(vectors, choice["model"], choice["parameter"], n_init))
     named = clusters.select(F.col("entity").alias("supplier"), F.col("label").alias("cluster"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.functions.numeric import as_double, round_to
+from shelfwise.functions.numeric import as_double, ratio, round_to
 from shelfwise.functions.ordering import exact_median
 from shelfwise.functions.storage import materialise
 from shelfwise.operators.features import SERIES
@@ -24,19 +24,36 @@ ROUNDED = ["annual_demand", "forecast_daily_demand", "forecast_30_day_demand", "
 
 
 def inventory_profile(fact: DataFrame) -> DataFrame:
-    """History per pair; demand is annualised over the date span of the whole fact."""
+    """History per pair; demand is annualised over the date span of the whole fact.
+
+    The pass over the fact groups by the text columns too and keeps only numbers, which Spark can
+    hash-aggregate; which category and supplier come first is settled on the small result. The
+    deviation follows from exact integer sums.
+    """
     span = fact.agg(
         F.greatest(F.datediff(F.max("date"), F.min("date")) + 1, F.lit(1))).scalar()
-    pairs = fact.groupBy(*SERIES).agg(
-        F.min_by("category", "date").alias("category"),
-        F.min_by("supplier", "date").alias("supplier"),
+    price, lead = as_double("unit_price"), as_double("lead_time_days")
+    parts = fact.groupBy(*SERIES, "category", "supplier").agg(
+        F.min("date").alias("first"), F.max("date").alias("last"),
+        F.max_by("closing_stock", "date").alias("stock"),
+        F.sum("demand").alias("demand"), F.sum(F.col("demand") * F.col("demand")).alias("squares"),
+        F.count("demand").alias("n"), F.sum(price).alias("price"), F.count(price).alias("prices"),
+        F.sum(lead).alias("lead"), F.count(lead).alias("leads"),
+        F.sum("stockout").alias("stockouts"), F.count("date").alias("days"))
+    exact = lambda name: F.sum(F.col(name).cast("decimal(19,0)")).cast("decimal(19,0)")
+    # n * sum of squares - square of the sum, over n * (n - 1)
+    spread = exact("n") * exact("squares") - exact("demand") * exact("demand")
+    n = as_double(F.sum("n"))
+    pairs = parts.groupBy(*SERIES).agg(
+        F.min_by("category", "first").alias("category"),
+        F.min_by("supplier", "first").alias("supplier"),
         F.sum("demand").alias("total_demand"),
-        F.avg(as_double("unit_price")).alias("unit_price"),
-        F.avg(as_double("lead_time_days")).alias("lead_time_days"),
-        F.max_by("closing_stock", "date").alias("current_stock"),
-        F.stddev_samp(as_double("demand")).alias("demand_std"),
-        F.sum("stockout").alias("historical_stockout_days"),
-        F.count("date").alias("observed_days"))
+        ratio(F.sum("price"), F.sum("prices")).alias("unit_price"),
+        ratio(F.sum("lead"), F.sum("leads")).alias("lead_time_days"),
+        F.max_by("stock", "last").alias("current_stock"),
+        F.sqrt(ratio(spread, n * (n - 1))).alias("demand_std"),
+        F.sum("stockouts").alias("historical_stockout_days"),
+        F.sum("days").alias("observed_days"))
     return pairs.withColumns({
         "annual_demand": F.col("total_demand") * (F.lit(365.0) / span),
         "historical_stockout_rate": as_double("historical_stockout_days")

@@ -14,11 +14,13 @@ from shelfwise.sources.retail import write_artifact
 def run_pipeline(fact: DataFrame, out_dir: str,
                  params: forecast.BoostParams = forecast.BoostParams(),
                  n_init: int = 20, n_trees: int = 300, order: str = "best",
-                 check: bool = True) -> dict[str, DataFrame]:
+                 check: bool = True, model=None, comparison: DataFrame | None = None,
+                 ) -> dict[str, DataFrame]:
     """Compute, write and read back every result table, then check the rules.
 
     Each table is written once and later steps scan the written form. With ``check`` a broken
-    rule raises; the expected pair count is that of the fact.
+    rule raises; the expected pair count is that of the fact. A model already fitted on the
+    training rows and a clustering comparison already made may be handed in.
     """
     spark = fact.sparkSession
     tables: dict[str, DataFrame] = {}
@@ -33,7 +35,7 @@ def run_pipeline(fact: DataFrame, out_dir: str,
     keep("baseline_results", forecast.naive_baselines(daily))
     training = keep("training_set", features.forecast_training_set(daily))
     train, test = features.train_and_test(training)
-    model = forecast.fit_boosted(train, params)
+    model = model or forecast.fit_boosted(train, params)
     trees = export_trees(spark, model)
     keep("boosted_results", forecast.boosted_forecast(model, train, test))
     keep("test_predictions", forecast.test_predictions(model, test))
@@ -41,7 +43,8 @@ def run_pipeline(fact: DataFrame, out_dir: str,
     stock = keep("inventory_optimization", inventory.inventory_optimization(fact, ahead))
     risk = keep("supplier_risk", supplier.supplier_risk(fact))
     keep("temporal_disruption", temporal.temporal_disruption(fact))
-    for name, table in disruption.disruption_detection(fact, n_init, n_trees, order).items():
+    found = disruption.disruption_detection(fact, n_init, n_trees, order, comparison)
+    for name, table in found.items():
         keep(name, table)
     keep("action_priorities", actions.action_priorities(stock, risk, ahead))
     keep("business_impact", actions.business_impact(fact, stock))

@@ -15,7 +15,7 @@ from shelfwise.functions.storage import materialise, new_folder
 from shelfwise.operators import (
     actions, anomaly, attribution, business, cluster_scores, clustering, disruption, etl, features,
     finance, finance_star, forecast, inventory, quality, supplier, temporal, validation, views)
-from shelfwise.plans.workspace import QUERY_INITS, QUERY_PARAMS, Workspace, workspace
+from shelfwise.plans.workspace import QUERY_PARAMS, Workspace, workspace
 from shelfwise.sources import retail
 from shelfwise.sources.schema import ABC_CLASSES, FACT, NUMERIC, RISK_LEVELS
 from shelfwise.sources.testdata import daily_fact_from_orders
@@ -494,7 +494,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("compare_clustering")
 def _(w: Workspace) -> DataFrame:
-    return clustering.compare_clustering(w.vectors, QUERY_INITS)
+    return w.comparison
 
 
 @query("choose_best")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.functions.jobs import ship_package
 from shelfwise.functions.storage import materialise, new_folder, write_and_read
-from shelfwise.operators import actions, disruption, etl, features, forecast, inventory, supplier
+from shelfwise.operators import (
+    actions, clustering, disruption, etl, features, forecast, inventory, supplier)
 from shelfwise.plans.pipeline import run_pipeline
 from shelfwise.operators.trees import TreeArrays, export_trees
 from shelfwise.sources.testdata import daily_fact_from_orders
@@ -86,11 +87,16 @@ class Workspace:
         """Scaled supplier vectors (entity, vec)."""
         return materialise(disruption.supplier_vectors(disruption.supplier_features(self.fact)))
 
+    @cached_property
+    def comparison(self) -> DataFrame:
+        return materialise(clustering.compare_clustering(self.vectors, QUERY_INITS))
+
     @cached_property
     def results(self) -> dict[str, DataFrame]:
         """Every result table of the whole chain, with the small model."""
         return run_pipeline(self.fact, new_folder(self.spark, "results"), QUERY_PARAMS,
-                            QUERY_INITS, check=False)
+                            QUERY_INITS, check=False, model=self.model,
+                            comparison=self.comparison)
 
 
 _open: dict[tuple[str, str], Workspace] = {}
