@@ -59,6 +59,16 @@ def _ward_rows(state: DataFrame, width: int) -> DataFrame:
         F.lit(1).cast("long").alias("members"))
 
 
+def _pair_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A scattered order of pairs, the same from both sides, to settle equal distances.
+
+    By name, all copies of an entity would point to the first copy and merge one pair per round;
+    in a scattered order a share of them merges in every round.
+    """
+    mixed = (a[:, None] ^ b[None, :]).astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(1)).astype(np.int64)
+
+
 def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
     """Nearest other cluster of every cluster, with the size and last merge height of both.
 
@@ -68,7 +78,7 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
     """
     rows = state.where(F.col("run") != "ward").select(
         "run", "entity", "vec", "cluster", "size", "top", F.col("size").alias("members"))
-    rows = rows.unionByName(_ward_rows(state, width))
+    rows = rows.unionByName(_ward_rows(state, width)).withColumn("mark", F.xxhash64("cluster"))
     pieces = F.ceil(F.col("members") / BLOCK)
     piece = F.when(pieces > 1, F.pmod(F.xxhash64("entity"), pieces)).otherwise(F.lit(0))
 
@@ -79,6 +89,7 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
                                 for side in (x, y))
         a_size, b_size = x["size"].to_numpy()[a_at], y["size"].to_numpy()[b_at]
         a_top, b_top = x["top"].to_numpy()[a_at], y["top"].to_numpy()[b_at]
+        order = _pair_order(x["mark"].to_numpy()[a_at], y["mark"].to_numpy()[b_at])
         combine = np.maximum if linkage == "complete" else np.add
         value = combine.reduceat(combine.reduceat(distances(x, y), a_at, axis=0), b_at, axis=1)
         if linkage == "ward":
@@ -90,7 +101,8 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
         other = a[:, None] != b[None, :]
         scale = a_size[:, None] * b_size if linkage == "average" else 1.0
         final = np.where(settled & other, np.round(value / scale, 10), np.inf)
-        best = final.argmin(axis=1)  # the first of equals is the smallest name
+        lowest = final == final.min(axis=1)[:, None]
+        best = np.where(lowest, order, np.iinfo(np.int64).max).argmin(axis=1)
         found = np.isfinite(final[np.arange(a.size), best])
         open_a, open_b = np.nonzero(~settled & other)
         # Nearest settled pairs first, then every pair with a spread cluster.
@@ -100,21 +112,21 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
         return pd.DataFrame({
             "run": linkage, "cluster": a[i], "other": b[j],
             "value": np.where(partial, value[i, j], final[i, j]), "partial": partial,
-            "size": a_size[i], "other_size": b_size[j],
+            "turn": order[i, j], "size": a_size[i], "other_size": b_size[j],
             "top": np.maximum(a_top[i], b_top[j])})
 
     found = compare_blocks(
         rows, rows, blocks, nearest,
-        "run string, cluster string, other string, value double, partial boolean, "
+        "run string, cluster string, other string, value double, partial boolean, turn long, "
         "size long, other_size long, top double",
         key=F.xxhash64("cluster", piece))
     # A settled pair occurs once and passes through unchanged; partial ones are completed here.
     average = F.col("partial") & (F.col("run") == "average")
     total = F.when(average, F.sum("value") / (F.col("size") * F.col("other_size"))).otherwise(
         F.max("value"))
-    pair = ["run", "cluster", "other", "partial", "size", "other_size", "top"]
+    pair = ["run", "cluster", "other", "partial", "turn", "size", "other_size", "top"]
     merged = found.groupBy(*pair).agg(F.round(total, 10).alias("value"))
-    near = F.struct("value", "other", (F.col("size") + F.col("other_size")).alias("size"), "top")
+    near = F.struct("value", "turn", "other", (F.col("size") + F.col("other_size")).alias("size"), "top")
     return merged.groupBy("run", "cluster").agg(F.min(near).alias("near")).select(
         "run", "cluster", "near.*")
 
@@ -130,7 +142,7 @@ def _mutual(near: DataFrame) -> DataFrame:
 
 def _closest(near: DataFrame) -> DataFrame:
     """The closest pair of each run, in the same form."""
-    pair = F.struct("value", F.least("cluster", "other").alias("keep"),
+    pair = F.struct("value", "turn", F.least("cluster", "other").alias("keep"),
                     F.greatest("cluster", "other").alias("gone"), "top", "size")
     return near.groupBy("run").agg(F.min(pair).alias("m")).select(
         "run", "m.keep", "m.gone", F.greatest("m.value", "m.top").alias("height"), "m.size")
@@ -140,7 +152,8 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
     """Agglomerative clusters for all linkages together, cut at ``k`` clusters each.
 
     In every round all mutually nearest clusters merge. Ward, complete and average linkage are
-    reducible, so this builds the same tree as merging one closest pair at a time. An entity
+    reducible, so this builds the same tree as merging one closest pair at a time (equal distances
+    in a scattered but fixed order). An entity
     keeps the list of merges it went through; leaving out the k - 1 highest merges gives the cut.
     """
     path_type = "array<struct<height: double, turn: int, cluster: string>>"

@@ -65,6 +65,16 @@ def test_agglomerative_with_copies(spark):
         assert labels_of(got, linkage) == [0] * 6 + [1] * 3 + [2]
 
 
+def test_many_copies_merge_in_few_rounds(spark, monkeypatch):
+    rounds = []
+    mutual = clustering._mutual
+    monkeypatch.setattr(clustering, "_mutual", lambda near: rounds.append(1) or mutual(near))
+    x = np.vstack([np.zeros((50, 2)), np.random.default_rng(1).normal(8, 1, (5, 2))])
+    got = clustering.hierarchical_clusters(frame(spark, x), ("complete",), k=2)
+    assert labels_of(got) == [0] * 50 + [1] * 5
+    assert len(rounds) < 20
+
+
 def dense(x, eps, m):
     """Density clusters in row order."""
     near = apart(x) <= eps
