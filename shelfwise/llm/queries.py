@@ -5,7 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, exact, host_rules, packing, simhash
+from shelfwise.llm import (
+    bpe,
+    exact,
+    extraction,
+    host_rules,
+    line_templates,
+    packing,
+    simhash,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +34,15 @@ def op5_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_template_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "lines_before", "lines_dropped", "text")
+
+
+def op8_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -38,6 +55,8 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_content_sort_dedup": op4_content_sort_dedup,
     "op5_simhash_bk_trees": op5_simhash_bk_trees,
+    "op6_log_template_lines": op6_log_template_lines,
+    "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
     "op10_host_level_rules": op10_host_level_rules,
 }
