@@ -13,6 +13,7 @@ from shelfwise.llm import (
     line_templates,
     packing,
     simhash,
+    toxicity,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +27,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op2_nearest_labelled_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.content_sort(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_host_level_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_nearest_labelled_toxicity": op2_nearest_labelled_toxicity,
     "op4_content_sort_dedup": op4_content_sort_dedup,
     "op5_simhash_bk_trees": op5_simhash_bk_trees,
     "op6_log_template_lines": op6_log_template_lines,
