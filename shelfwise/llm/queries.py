@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.llm import (
     bpe,
@@ -12,6 +13,7 @@ from shelfwise.llm import (
     host_rules,
     line_templates,
     packing,
+    secret_forest,
     simhash,
     toxicity,
 )
@@ -45,6 +47,13 @@ def op6_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "lines_before", "lines_dropped", "text")
 
 
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_forest.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "place", "start", F.length("value").alias("n_chars"),
+                        F.sha2("value", 256).alias("value_sha256"),
+                        *secret_forest.FEATURES, "score", "is_secret")
+
+
 def op8_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -63,6 +72,7 @@ QUERIES = {
     "op4_content_sort_dedup": op4_content_sort_dedup,
     "op5_simhash_bk_trees": op5_simhash_bk_trees,
     "op6_log_template_lines": op6_log_template_lines,
+    "op7_secret_forest": op7_secret_forest,
     "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
     "op10_host_level_rules": op10_host_level_rules,
