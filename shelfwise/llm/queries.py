@@ -13,6 +13,7 @@ from shelfwise.llm import (
     host_rules,
     line_templates,
     packing,
+    passages,
     secret_forest,
     simhash,
     toxicity,
@@ -34,6 +35,10 @@ def op2_nearest_labelled_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.content_sort(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ def op10_host_level_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_labelled_toxicity": op2_nearest_labelled_toxicity,
+    "op3_compact_window_passages": op3_compact_window_passages,
     "op4_content_sort_dedup": op4_content_sort_dedup,
     "op5_simhash_bk_trees": op5_simhash_bk_trees,
     "op6_log_template_lines": op6_log_template_lines,
