@@ -48,18 +48,20 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed 64-bit number; a null text counts as empty."""
+    """``doc_id, text_key, fp``: fingerprints as signed numbers; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [fingerprint(text, size) for text in batch.column(1).to_pylist()]
+            own = [fingerprint(text, size) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(own, np.uint64).view(np.int64))],
-                ["doc_id", "fp"])
+                [batch.column(0), batch.column(1),
+                 pa.array(np.array(own, np.uint64).view(np.int64))], ["doc_id", "text_key", "fp"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                           T.StructField("text_key", T.LongType()),
                            T.StructField("fp", T.LongType())])
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text), text).mapInArrow(run, schema)
 
 
 class BKTree:
@@ -159,6 +161,17 @@ def near_links(prints: DataFrame, radius: int = 4, shard_rows: int = 4096) -> Da
     return sent.mapInArrow(run, "a long, b long").distinct()
 
 
+def classes(docs: DataFrame, size: int, radius: int, shard_rows: int) -> DataFrame:
+    """``doc_id, text_key, fp, root, component_id`` of every row; ``root`` names the component."""
+    prints = materialise(fingerprints(docs, size))
+    own = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = components(near_links(own, radius, shard_rows))
+    placed = own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    firsts = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return prints.join(placed.join(firsts, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4,
                     shard_rows: int = 4096) -> DataFrame:
     """One row per document: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``.
@@ -168,12 +181,23 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4,
     fingerprint zero and are linked like any other. Repeated rows each give a row; an empty table
     gives none. Only ``doc_id`` and ``text`` are read.
     """
-    prints = materialise(fingerprints(docs, size))
-    own = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(near_links(own, radius, shard_rows))
-    placed = own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    firsts = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = placed.join(firsts, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    return classes(docs, size, radius, shard_rows).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, size: int = 4, radius: int = 4,
+               shard_rows: int = 4096) -> DataFrame:
+    """``docs`` with one row of each component: the smallest ``doc_id``'s (null last).
+
+    Of rows with that ``doc_id`` one text's stays (the smallest hash), and of equal rows one.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = materialise(classes(docs, size, radius, shard_rows).groupBy("root").agg(
+        F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"),
+                       F.xxhash64(F.col("text").cast("string")).alias("key"))
+    stays = rows.join(kept, (rows["key"] == kept["key"])
+                      & rows["row.doc_id"].eqNullSafe(kept["id"]), "left_semi")
+    twice = stays.withColumn("id", F.col("row.doc_id")).dropDuplicates(["key", "id"])
+    return twice.select(*[F.col("row")[c].alias(c) for c in docs.columns])

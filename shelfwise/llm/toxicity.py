@@ -118,14 +118,14 @@ def choose_terms(examples: DataFrame, rule: Examples) -> list[str]:
 
 
 def sparse_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``doc_id, terms, counts``: numbers of the chosen terms in each whole text."""
+    """``doc_id, text_key, terms, counts``: numbers of the chosen terms in each whole text."""
     numbers = {term: i for i, term in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             found, counts = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 own: dict[int, int] = {}
                 for token, n in Counter((text or "").lower().split()).items():
                     hits = known.get(token)
@@ -141,13 +141,16 @@ def sparse_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
                 if len(known) > KEPT:
                     known.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "terms", "counts"])
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())),
+                 pa.array(counts, pa.list_(pa.int32()))],
+                ["doc_id", "text_key", "terms", "counts"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                           T.StructField("text_key", T.LongType())]
                           + [T.StructField(x, T.ArrayType(T.IntegerType()))
                              for x in ("terms", "counts")])
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text), text).mapInArrow(run, schema)
 
 
 class BlockMaxIndex:
@@ -280,13 +283,14 @@ def fit(vectors: DataFrame, examples: DataFrame, terms: list[str], shares: dict[
 
 def score_documents(docs: DataFrame, labels: DataFrame, rule: Examples = Examples(), k: int = 9,
                     prior_weight: float = 1.0, shown: int = 3) -> DataFrame:
-    """``doc_id, held_out, score, predicted, evidence``, one row per row of ``docs``.
+    """``doc_id, held_out, score, predicted, evidence, text_key``, one row per row of ``docs``.
 
     Labels are learned from training rows only (``training_rows``) and from ``rule``'s sample of
     them. ``evidence`` lists the nearest examples: doc_id, similarity, toxic. A null or empty text
     has no terms and gets the score of such examples; without labels of both classes every score
     is the labelled rows' share of toxic ones (0 without labels). Repeated rows each give a row;
-    a null ``doc_id`` is not held out. Of ``docs`` only ``doc_id`` and ``text`` are read.
+    a null ``doc_id`` is not held out. ``text_key``, a hash of the text, tells texts apart whatever
+    their ids: the score depends on the text alone. Of ``docs`` only ``doc_id`` and ``text`` are read.
     """
     examples, shares = choose_examples(docs, labels, rule)
     examples = materialise(examples)
@@ -301,7 +305,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, rule: Examples = Example
         kept: dict[tuple, tuple[float, list[dict]]] = {}
         for batch in batches:
             out = []
-            for own, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(),
+            for own, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(),
                                    strict=True):
                 name = (*own, *counts)
                 if name not in kept:
@@ -313,16 +317,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, rule: Examples = Example
                         for s, i in near[:shown]])
                 out.append(kept[name])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x[0] for x in out], pa.float64()),
-                 pa.array([x[1] for x in out], shape)], ["doc_id", "score", "evidence"])
+                [batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.float64()),
+                 pa.array([x[1] for x in out], shape)],
+                ["doc_id", "text_key", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType
     shape = pa.list_(pa.struct([("doc_id", to_arrow_type(kind)), ("similarity", pa.float64()),
                                 ("toxic", pa.int32())]))
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("score", T.DoubleType()), T.StructField(
+    schema = T.StructType([
+        T.StructField("doc_id", kind), T.StructField("text_key", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField(
         "evidence", T.ArrayType(T.StructType([
             T.StructField("doc_id", kind), T.StructField("similarity", T.DoubleType()),
             T.StructField("toxic", T.IntegerType())])))])
     return vectors.mapInArrow(run, schema).select(
         "doc_id", (~training_rows(F.col("doc_id"))).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "text_key")
