@@ -125,7 +125,8 @@ class BKTree:
 def near_links(prints: DataFrame, radius: int = 4, shard_rows: int = 4096) -> DataFrame:
     """``a, b``: links that join all of the distinct ``fp`` within ``radius`` bits of each other.
 
-    Not every close pair is listed, but the components of the links are those of all such pairs.
+    Not every close pair is listed, and a link may name another member of a close one's component,
+    but the components of the links are those of all close pairs.
     """
     blocks = radius + 1
     edges = [64 * i // blocks for i in range(blocks + 1)]
