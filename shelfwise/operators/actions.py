@@ -53,12 +53,14 @@ def priority_counts(actions: DataFrame) -> DataFrame:
 
 
 def latest_state(fact: DataFrame) -> DataFrame:
-    """The newest row of each pair.
+    """The newest row of each pair; of several on that date, the largest by the other columns.
 
-    Each task reduces its own rows first, so one row per pair and task is shuffled.
+    The newest dates are a hash aggregation; only the rows of those dates are compared whole.
     """
     rest = [c for c in fact.columns if c not in (*SERIES, "date")]
-    newest = fact.groupBy(*SERIES).agg(F.max(F.struct("date", *rest)).alias("row"))
+    dates = fact.groupBy(*SERIES).agg(F.max("date").alias("date"))
+    last = fact.join(dates, [*SERIES, "date"])
+    newest = last.groupBy(*SERIES).agg(F.max(F.struct("date", *rest)).alias("row"))
     return newest.select(*SERIES, "row.*").withColumn(
         "current_stockout", F.col("closing_stock") <= 0)
 

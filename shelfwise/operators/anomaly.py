@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil, log, log2, sqrt
+from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
@@ -52,19 +52,16 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
-def _samples(vectors: DataFrame, n: int, size: int, trees: int, seed: int) -> DataFrame:
+def _samples(vectors: DataFrame, size: int, trees: int, seed: int) -> DataFrame:
     """``size`` entities per tree without replacement: those with the smallest hash draws.
 
-    Draws far above the expected cut (six deviations) are dropped before the shuffle.
+    Each task keeps only its own ``size`` smallest draws of a tree before the shuffle.
     """
     draw = F.xxhash64(F.lit(seed), "tree", "entity")
-    keep = min(1.0, (size + 6 * sqrt(size)) / n)
     drawn = vectors.withColumn(
         "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_draw", draw)
-    near = drawn if keep == 1.0 else drawn.where(
-        F.col("_draw") / F.lit(2.0 ** 64) + 0.5 <= keep)
     order = F.row_number().over(W.partitionBy("tree").orderBy("_draw", "entity"))
-    return near.withColumn("_n", order).where(F.col("_n") <= size).select("tree", "_n", "vec")
+    return drawn.withColumn("_n", order).where(F.col("_n") <= size).select("tree", "_n", "vec")
 
 
 def isolation_forest(vectors: DataFrame, n_trees: int = TREES, seed: int = SEED) -> DataFrame:
@@ -85,7 +82,7 @@ def isolation_forest(vectors: DataFrame, n_trees: int = TREES, seed: int = SEED)
         return pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "value"]
                             ).assign(tree=int(key[0]), node=range(len(nodes)))
 
-    nodes = _samples(vectors, max(n, 1), size, n_trees, seed).groupBy("tree").applyInPandas(
+    nodes = _samples(vectors, size, n_trees, seed).groupBy("tree").applyInPandas(
         grow, "feature int, threshold double, left int, right int, value double, tree int, "
               "node int").toPandas()
     width = int(nodes["node"].max()) + 1 if len(nodes) else 1

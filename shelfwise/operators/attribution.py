@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from shelfwise.operators.features import FEATURES
 from shelfwise.operators.trees import TreeArrays
 
-SAMPLE_ROWS = 5000
-
-
 def leaf_games(trees: TreeArrays):
     """Yield per leaf: its value, path features, their (low, high] bounds and branch shares."""
     for t in range(trees.feature.shape[0]):
@@ -82,15 +79,10 @@ class Attributor:
         return total
 
 
-def newest_rows(train: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The last ``rows`` training rows in (store, product, date) order: the explained sample."""
-    return train.orderBy(F.desc("store"), F.desc("product"), F.desc("date")).limit(rows)
-
-
-def feature_attribution(trees: TreeArrays, sample: DataFrame,
+def feature_attribution(trees: TreeArrays, rows: DataFrame,
                         features: list[str] = FEATURES) -> DataFrame:
-    """Features by falling mean absolute Shapley value over the sample."""
-    spark = sample.sparkSession
+    """Features by falling mean absolute Shapley value over all of ``rows``."""
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(trees)
 
     def partial_sums(batches):
@@ -99,7 +91,7 @@ def feature_attribution(trees: TreeArrays, sample: DataFrame,
             size = np.abs(attributor.values(batch[features].to_numpy(float))).sum(axis=0)
             yield pd.DataFrame({"feature": features, "size": size, "n": len(batch)})
 
-    spread = sample.select(*[F.col(f).cast("double").alias(f) for f in features]).repartition(
+    spread = rows.select(*[F.col(f).cast("double").alias(f) for f in features]).repartition(
         spark.sparkContext.defaultParallelism)
     return (
         spread.mapInPandas(partial_sums, "feature string, size double, n long")

@@ -303,8 +303,8 @@ def min_samples_for(entities: int) -> int:
     return max(3, min(5, entities // 4))
 
 
-def compare_clustering(vectors: DataFrame, n_init: int = INITS) -> DataFrame:
-    """One row per model and parameter: clusters, noise share and the three scores."""
+def label_runs(vectors: DataFrame, n_init: int = INITS) -> DataFrame:
+    """Rows (run, entity, label, vec) of every compared model, the run named ``model|parameters``."""
     vectors = materialise(vectors)
     n = vectors.count()
     k_cut = min(4, n - 1)
@@ -312,9 +312,21 @@ def compare_clustering(vectors: DataFrame, n_init: int = INITS) -> DataFrame:
             ("Hierarchical", hierarchical_clusters(vectors, LINKAGES, k_cut)),
             ("DBSCAN", dbscan_clusters(vectors, EPS, min_samples_for(n)))]
     labelled = reduce(DataFrame.unionByName, [
-        labels.select(F.concat(F.lit(f"{model}|"), "run").alias("run"), "entity", "label")
+        labels.select(F.concat(F.lit(f"{model}|"), F.lit("linkage=" if model == "Hierarchical"
+                                                         else ""), "run",
+                               F.lit(f",k={k_cut}" if model == "Hierarchical" else "")
+                               ).alias("run"), "entity", "label")
         for model, labels in runs])
-    labelled = materialise(labelled.join(vectors, "entity"))
+    return materialise(labelled.join(vectors, "entity"))
+
+
+def compare_clustering(vectors: DataFrame, n_init: int = INITS,
+                       labelled: DataFrame | None = None) -> DataFrame:
+    """One row per model and parameter: clusters, noise share and the three scores.
+
+    Labels made before by ``label_runs`` may be handed in.
+    """
+    labelled = label_runs(vectors, n_init) if labelled is None else labelled
     is_cluster = F.col("label") != NOISE
     shape = labelled.groupBy("run", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("run").agg(
         F.count_if(is_cluster).cast("int").alias("clusters"),
@@ -322,12 +334,11 @@ def compare_clustering(vectors: DataFrame, n_init: int = INITS) -> DataFrame:
         .alias("noise_pct"))
     model = F.split("run", r"\|")[0]
     parameters = F.split("run", r"\|")[1]
+    # K-Means has the clusters that it was asked for, even if one stayed empty.
+    asked = F.when(model == "K-Means", F.element_at(F.split(parameters, "="), -1).cast("int"))
     return cluster_scores(labelled).join(shape, "run").select(
-        model.alias("model"),
-        F.when(model == "Hierarchical", F.concat(F.lit("linkage="), parameters,
-                                                 F.lit(f",k={k_cut}")))
-        .otherwise(parameters).alias("parameters"),
-        "clusters", "noise_pct", "silhouette", "davies_bouldin", "calinski_harabasz")
+        model.alias("model"), parameters.alias("parameters"),
+        F.coalesce(asked, "clusters").alias("clusters"), "noise_pct", "silhouette", "davies_bouldin", "calinski_harabasz")
 
 
 def choose_best(results: DataFrame, order: str = "best") -> DataFrame:
@@ -358,6 +369,19 @@ def choose_best(results: DataFrame, order: str = "best") -> DataFrame:
         "model", value.alias("parameter"), "rank_score")
 
 
+def labels_of_choice(labelled: DataFrame, model: str, parameter: float,
+                     linkage: str = "ward") -> DataFrame:
+    """Rows (entity, label) of the compared run that was chosen; none if there is no such run.
+
+    A hierarchical choice stands for its ``linkage`` run, as ``fit_cluster`` would fit it.
+    """
+    value = F.element_at(F.split("run", "="), -1).cast("double")
+    own = F.col("run").startswith(f"{model}|") & (value == float(parameter))
+    if model == "Hierarchical":
+        own &= F.col("run").contains(f"linkage={linkage},")
+    return labelled.where(own).select("entity", "label")
+
+
 def fit_cluster(vectors: DataFrame, model: str, parameter: float, n_init: int = INITS,
                 linkage: str = "ward") -> DataFrame:
     """Label every entity with the chosen model: rows (entity, label)."""

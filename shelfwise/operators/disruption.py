@@ -12,7 +12,8 @@ from shelfwise.functions.numeric import as_double, ratio, ratio_or_zero, right_c
 from shelfwise.functions.ordering import percentile_ranks
 from shelfwise.functions.storage import materialise
 from shelfwise.operators.anomaly import TREES, isolation_forest
-from shelfwise.operators.clustering import INITS, choose_best, compare_clustering, fit_cluster
+from shelfwise.operators.clustering import (
+    INITS, choose_best, compare_clustering, fit_cluster, label_runs, labels_of_choice)
 from shelfwise.sources.retail import require_columns
 
 # Fixed feature order of the supplier vectors.
@@ -115,18 +116,23 @@ def disruption_score(features: DataFrame, anomaly_column: str) -> DataFrame:
 
 def disruption_detection(fact: DataFrame, n_init: int = INITS, n_trees: int = TREES,
                          order: str = "best", comparison: DataFrame | None = None,
-                         ) -> dict[str, DataFrame]:
+                         labelled: DataFrame | None = None) -> dict[str, DataFrame]:
     """The supplier table, the model comparison and the projection.
 
-    ``order`` is how the clustering model is chosen, see ``choose_best``. A comparison made
-    before on the same fact may be handed in.
+    ``order`` is how the clustering model is chosen, see ``choose_best``. The clusters are those
+    of the run that was scored; only a choice that was not among the runs is fitted. The runs'
+    labels and their comparison, made before on the same fact, may be handed in.
     """
     features = materialise(supplier_features(fact))
     vectors = materialise(supplier_vectors(features))
+    if labelled is None:
+        labelled = label_runs(vectors, n_init)
     if comparison is None:
-        comparison = materialise(compare_clustering(vectors, n_init))
+        comparison = materialise(compare_clustering(vectors, n_init, labelled))
     choice = choose_best(comparison, order).first()  # one row
-    clusters = materialise(fit_cluster(vectors, choice["model"], choice["parameter"], n_init))
+    clusters = materialise(labels_of_choice(labelled, choice["model"], choice["parameter"]))
+    if clusters.isEmpty():
+        clusters = materialise(fit_cluster(vectors, choice["model"], choice["parameter"], n_init))
     named = clusters.select(F.col("entity").alias("supplier"), F.col("label").alias("cluster"))
     anomalies = isolation_forest(vectors, n_trees).withColumnRenamed("entity", "supplier")
     joined = features.join(named, "supplier").join(anomalies, "supplier")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import number_rows
 from shelfwise.functions.storage import materialise
-from shelfwise.sources.schema import STAR_TABLES
+from shelfwise.operators.quality import coerce_numeric, require_clean
+from shelfwise.sources.schema import NUMERIC, STAR_TABLES
 
 Star = dict[str, DataFrame]
 
@@ -26,13 +27,15 @@ ATTRIBUTES = ["category", "unit_price", *SUPPLIER_FACTS]
 
 
 def first_rows(fact: DataFrame) -> DataFrame:
-    """First date of every combination of names and attributes.
+    """Attributes of every (store, product, supplier) on its first date.
 
-    Stores, suppliers and products all follow from this small table. Grouping by the attributes
-    leaves only a date to aggregate, so the pass over the fact is a hash aggregation with map-side
-    partial results; a struct with text in it would make Spark sort the fact instead.
+    Stores, suppliers and products all follow from this table, which stays small even if prices
+    and rates change daily. The first dates are a hash aggregation with map-side partial results;
+    a struct with text in it would make Spark sort the fact instead.
     """
-    return fact.groupBy("store", "product", "supplier", *ATTRIBUTES).agg(
+    names = ["store", "product", "supplier"]
+    dates = fact.groupBy(*names).agg(F.min("date").alias("date"))
+    return fact.join(dates, [*names, "date"]).groupBy(*names, *ATTRIBUTES).agg(
         F.min("date").alias("date"))
 
 
@@ -130,14 +133,18 @@ def build_star(fact: DataFrame) -> Star:
     }
 
 
-def reload_star(fact: DataFrame, out_dir: str) -> Star:
+def reload_star(fact: DataFrame, out_dir: str, check: bool = True) -> Star:
     """Replace the star tables as one step.
 
+    With ``check`` a fact with null cells, repeated rows or text in a numeric column raises before
+    anything is written.
     Every load goes to its own folder; readers move to it only after all five tables are written
     and the row counts agree, by appending one row to the ``loads`` table. A failed load leaves
     the previous one in place.
     """
     spark = fact.sparkSession
+    if check:
+        fact = require_clean(coerce_numeric(fact, [c for c in NUMERIC if c in fact.columns]))
     load = f"load-{uuid.uuid4().hex}"
     star = build_star(fact)
     for name in STAR_TABLES:

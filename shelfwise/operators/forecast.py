@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numeric import as_double, ratio_or_zero, round_to
 from shelfwise.functions.jobs import side_by_side
-from shelfwise.functions.storage import materialise
+from shelfwise.functions.storage import materialise, shared_dir
 from shelfwise.operators.features import (
     FEATURES, HOLD_OUT_DAYS, NETWORK_FEATURES, SERIES, demand_lags, temporal_split,
     walk_forward_folds)
@@ -93,12 +93,16 @@ def _assembled(df: DataFrame, features: list[str]) -> DataFrame:
 
 def fit_boosted(train: DataFrame, params: BoostParams = BoostParams(),
                 features: list[str] = FEATURES):
-    """Boosted regression trees on demand; row and column sampling as given."""
+    """Boosted regression trees on demand; row and column sampling as given.
+
+    Residuals are checkpointed into the shared folder every ten trees, so the plan stays short.
+    """
+    shared_dir(train.sparkSession)
     learner = GBTRegressor(
         featuresCol="features", labelCol="demand", predictionCol="prediction",
         maxIter=params.trees, stepSize=params.learning_rate, maxDepth=params.depth,
         subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
-        seed=params.seed)
+        seed=params.seed, checkpointInterval=10)
     return learner.fit(_assembled(train, features).select("features", "demand"))
 
 

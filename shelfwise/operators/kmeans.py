@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.storage import materialise
 
 MAX_STEPS = 300
+STARTS = 1 << 20  # more than any number of starts: runs are numbered by k and start
 TOLERANCE = 1e-4
 
 
@@ -106,17 +107,21 @@ def _step(points: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, list]:
     return found
 
 
-def fit_centers(vectors: DataFrame, ks: list[int], n_init: int, seed: int
-                ) -> dict[int, np.ndarray]:
-    """Centers of the cheapest of ``n_init`` runs for each k."""
+def fit_centers(vectors: DataFrame, ks: list[int], n_init: int, seed: int,
+                max_steps: int = MAX_STEPS) -> dict[int, np.ndarray]:
+    """Centers of the cheapest of ``n_init`` runs for each k.
+
+    A run's draws follow from its k and its start alone, so a k gets the same centers in any sweep.
+    Raises if a run still moves after ``max_steps``.
+    """
     points = materialise(vectors.select("vec", F.xxhash64(F.lit(seed), "entity").alias("seed")))
-    runs = {i * n_init + start: k for i, k in enumerate(ks) for start in range(n_init)}
+    runs = {k * STARTS + start: k for k in ks for start in range(n_init)}
     spread = points.agg(*[F.var_pop(F.col("vec")[i]) for i in range(
         len(points.select("vec").first()["vec"]))]).first()
     enough = TOLERANCE * float(np.mean(spread))
     centers, cost = _start_centers(points, runs), {}
     moving = dict(centers)
-    for _ in range(MAX_STEPS):
+    for _ in range(max_steps):
         for run, sums in _step(points, moving).items():
             cost[run] = sum(s[3] for s in sums)
             new = centers[run].copy()  # an empty cluster stays where it is
@@ -130,6 +135,8 @@ def fit_centers(vectors: DataFrame, ks: list[int], n_init: int, seed: int
                 moving[run] = new
         if not moving:
             break
+    else:
+        raise RuntimeError(f"k-means: {len(moving)} runs still move after {max_steps} steps")
     final = _step(points, centers)
     cost = {run: sum(s[3] for s in sums) for run, sums in final.items()}
     return {k: centers[min((r for r, rk in runs.items() if rk == k), key=lambda r: (cost[r], r))]

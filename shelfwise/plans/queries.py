@@ -15,7 +15,7 @@ from shelfwise.functions.storage import materialise, new_folder
 from shelfwise.operators import (
     actions, anomaly, attribution, business, cluster_scores, clustering, disruption, etl, features,
     finance, finance_star, forecast, inventory, quality, supplier, temporal, validation, views)
-from shelfwise.plans.workspace import QUERY_PARAMS, Workspace, workspace
+from shelfwise.plans.workspace import FOLD_PARAMS, QUERY_PARAMS, Workspace, workspace
 from shelfwise.sources import retail
 from shelfwise.sources.schema import ABC_CLASSES, FACT, NUMERIC, RISK_LEVELS
 from shelfwise.sources.testdata import daily_fact_from_orders
@@ -264,14 +264,13 @@ def _(w: Workspace) -> DataFrame:
 
 @query("walk_forward_validation")
 def _(w: Workspace) -> DataFrame:
-    return _trees_used(forecast.walk_forward_validation(w.network, QUERY_PARAMS),
-                       QUERY_PARAMS.trees)
+    return _trees_used(forecast.walk_forward_validation(w.network, FOLD_PARAMS),
+                       FOLD_PARAMS.trees)
 
 
 @query("feature_attribution")
 def _(w: Workspace) -> DataFrame:
-    sample = attribution.newest_rows(w.split[0])
-    return _trees_used(attribution.feature_attribution(w.trees, sample), QUERY_PARAMS.trees)
+    return _trees_used(attribution.feature_attribution(w.trees, w.split[0]), QUERY_PARAMS.trees)
 
 
 # --- stock policy ----------------------------------------------------------------------------

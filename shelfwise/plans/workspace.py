@@ -14,8 +14,9 @@ from shelfwise.plans.pipeline import run_pipeline
 from shelfwise.operators.trees import TreeArrays, export_trees
 from shelfwise.sources.testdata import daily_fact_from_orders
 
-# The full model has 400 trees; the queries fit a small one and say so in their results.
-QUERY_PARAMS = forecast.BoostParams(trees=20)
+# The documented models: 400 trees on all pairs, 300 for each fold of the network series.
+QUERY_PARAMS = forecast.BoostParams(trees=400)
+FOLD_PARAMS = forecast.BoostParams(trees=300)
 QUERY_INITS = 20
 
 
@@ -89,14 +90,19 @@ class Workspace:
 
     @cached_property
     def comparison(self) -> DataFrame:
-        return materialise(clustering.compare_clustering(self.vectors, QUERY_INITS))
+        return materialise(clustering.compare_clustering(self.vectors, QUERY_INITS, self.labelled))
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """Labels of every compared clustering run."""
+        return clustering.label_runs(self.vectors, QUERY_INITS)
 
     @cached_property
     def results(self) -> dict[str, DataFrame]:
-        """Every result table of the whole chain, with the small model."""
+        """Every result table of the whole chain, with the one fitted model."""
         return run_pipeline(self.fact, new_folder(self.spark, "results"), QUERY_PARAMS,
                             QUERY_INITS, check=False, model=self.model,
-                            comparison=self.comparison)
+                            comparison=self.comparison, labelled=self.labelled)
 
 
 _open: dict[tuple[str, str], Workspace] = {}

@@ -220,3 +220,33 @@ def test_forest_finds_a_planted_outlier(spark):
 def test_expected_depth():
     assert [expected_depth(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert expected_depth(256) == pytest.approx(10.24, abs=0.01)
+
+
+def test_a_k_alone_is_what_the_sweep_scored(spark):
+    x = np.random.default_rng(12).normal(size=(60, 3))
+    points = frame(spark, x)
+    sweep = clustering.kmeans_sweep(points, [2, 3, 4, 5], n_init=3)
+    for k in (3, 5):
+        alone = clustering.kmeans_sweep(points, [k], n_init=3)
+        assert labels_of(alone, f"k={k}") == labels_of(sweep, f"k={k}")
+
+
+def test_unsettled_kmeans_raises(spark):
+    x = np.random.default_rng(2).normal(size=(50, 2))
+    with pytest.raises(RuntimeError, match="still move"):
+        kmeans.fit_centers(frame(spark, x), [6], 2, 1, max_steps=1)
+
+
+def test_chosen_labels_are_those_that_were_scored(spark):
+    x = np.random.default_rng(7).normal(size=(40, 3))
+    labelled = clustering.label_runs(frame(spark, x), n_init=2)
+    compared = clustering.compare_clustering(frame(spark, x), 2, labelled)
+    assert {r.parameters for r in compared.collect() if r.model == "Hierarchical"} == {
+        f"linkage={name},k=4" for name in clustering.LINKAGES}
+    for model, parameter, run in (("K-Means", 4.0, "K-Means|k=4"), ("DBSCAN", 1.25, "DBSCAN|eps=1.25"),
+                                  ("Hierarchical", 4.0, "Hierarchical|linkage=ward,k=4")):
+        got = clustering.labels_of_choice(labelled, model, parameter)
+        want = labelled.where(F.col("run") == run)
+        assert {tuple(r) for r in got.collect()} == {(r.entity, r.label) for r in want.collect()}
+        assert got.count() == 40
+    assert clustering.labels_of_choice(labelled, "K-Means", 99.0).isEmpty()

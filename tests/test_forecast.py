@@ -157,7 +157,7 @@ def test_attribution_matches_brute_force_and_adds_up(fitted):
 
 def test_attribution_table(fitted):
     _, train, _, _, trees = fitted
-    sample = attribution.newest_rows(train, 50)
+    sample = train.limit(50)
     got = attribution.feature_attribution(trees, sample).collect()
     x = sample.select(*features.FEATURES).toPandas().to_numpy(float)
     want = np.abs(attribution.Attributor(trees).values(x)).mean(axis=0)

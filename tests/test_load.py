@@ -127,3 +127,16 @@ def test_star_answers_sql(spark, fact):
 
 def test_numeric_columns_are_twenty():
     assert len(NUMERIC) == 20
+
+
+def test_dirty_fact_leaves_the_previous_load(spark, fact, tmp_path):
+    out = f"{tmp_path}/star"
+    etl.reload_star(fact, out)
+    nulls = fact.withColumn("demand", F.when(F.col("store") != "ASIA", F.col("demand")))
+    repeated = fact.unionByName(fact.where(F.col("store") == "ASIA"))
+    text = fact.withColumn("demand", F.when(F.col("store") == "ASIA", "many").otherwise(
+        F.col("demand").cast("string")))
+    for dirty, problem in ((nulls, "missing"), (repeated, "duplicate"), (text, "not numeric")):
+        with pytest.raises(Exception, match=problem):
+            etl.reload_star(dirty, out)
+        assert etl.open_star(spark, out)["sales"].count() == fact.count()
