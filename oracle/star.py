@@ -8,6 +8,8 @@ NUMBERS = ("unit_price discount_pct sell_price demand units_sold lost_sales reve
            "closing_stock reorder_point reorder_qty reordered ordered_qty received_qty stockout "
            "promo_event lead_time_days on_time_rate defect_rate supplier_delay").split()
 
+FACT_COLUMNS = ["date", "store", "category", "product", "supplier", *NUMBERS]
+
 STORES = """store_dim AS (
   SELECT store AS store_name, ROW_NUMBER() OVER (ORDER BY store) AS store_id
   FROM (SELECT DISTINCT store FROM fact))"""
@@ -35,6 +37,17 @@ ORACLES = {
         "reorder_qty:b reordered:i ordered_qty:b received_qty:b stockout:i promo_event:i "
         "lead_time_days:i on_time_rate:d defect_rate:d supplier_delay:i",
         "SELECT * FROM fact"),
+    "write_artifact": oracle(
+        "date store category product supplier unit_price:d discount_pct:i sell_price:d demand:b "
+        "units_sold:b lost_sales:b revenue:d opening_stock:b closing_stock:b reorder_point:b "
+        "reorder_qty:b reordered:i ordered_qty:b received_qty:b stockout:i promo_event:i "
+        "lead_time_days:i on_time_rate:d defect_rate:d supplier_delay:i",
+        "SELECT * FROM fact"),
+    "read_optional": oracle("source row_count:b", """
+        SELECT 'absent' AS source, 0 AS row_count
+        UNION ALL SELECT 'present', COUNT(*) FROM fact"""),
+    "require_columns": oracle("store demand:b", """
+        SELECT store, SUM(demand) AS demand FROM fact GROUP BY 1"""),
     "fallback_column": oracle(
         "lost_value_at_sell_price:d lost_value_at_list_price:d stockout_days:b lost_sales_days:b",
         """SELECT SUM(lost_sales * sell_c) / 100.0 AS lost_value_at_sell_price,
@@ -42,11 +55,15 @@ ORACLES = {
                   SUM(stockout) AS stockout_days,
                   COUNT(*) FILTER (WHERE lost_sales > 0) AS lost_sales_days FROM fact"""),
     "dq_null_check": oracle("null_cells:b", """
-        SELECT SUM(CASE WHEN date IS NULL OR demand IS NULL OR supplier IS NULL THEN 1 ELSE 0 END)
-          AS null_cells FROM fact"""),
+        SELECT SUM(25 - (""" + " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)"
+                                        for c in FACT_COLUMNS) + """)) AS null_cells
+        FROM (SELECT * REPLACE (
+                CASE WHEN opening_stock % 97 <> 0 THEN opening_stock END AS opening_stock,
+                CASE WHEN DAY(date) <> 13 THEN supplier END AS supplier) FROM fact)"""),
     "dq_duplicate_check": oracle("duplicate_rows:b", """
-        SELECT (SELECT COUNT(*) FROM fact) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM fact))
-          AS duplicate_rows"""),
+        SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM twice)) AS duplicate_rows
+        FROM twice""", """twice AS (
+          SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE opening_stock % 97 = 0)"""),
     "coerce_numeric": oracle(
         " ".join(f"{c}:d" for c in NUMBERS),
         "SELECT " + ", ".join(f"SUM({c}) AS {c}" for c in NUMBERS if c not in
@@ -92,6 +109,12 @@ ORACLES = {
         UNION ALL SELECT 'products', COUNT(DISTINCT product) FROM fact
         UNION ALL SELECT 'sales', COUNT(*) FROM fact
         UNION ALL SELECT 'inventory', COUNT(*) FROM fact"""),
+    "reload_star": oracle("table_name row_count:b", """
+        SELECT 'stores' AS table_name, COUNT(DISTINCT store) AS row_count FROM fact
+        UNION ALL SELECT 'suppliers', COUNT(DISTINCT supplier) FROM fact
+        UNION ALL SELECT 'products', COUNT(DISTINCT product) FROM fact
+        UNION ALL SELECT 'sales', COUNT(*) FROM fact
+        UNION ALL SELECT 'inventory', COUNT(*) FROM fact"""),
 
     "biz_top_products": oracle(
         "product_name category total_units_sold:b total_revenue:d",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import oracle
+from oracle.demand import RECURSION
 from oracle.finance import ABC, ABC_COLUMNS, IMPACT, IMPACT_COLUMNS, SUMMARY
 
 
@@ -194,12 +195,46 @@ def rules(*entries: tuple[str, str, str, str]) -> str:
     return " UNION ALL ".join(RULE.format(a=a, r=r, p=p, t=t) for a, r, p, t in entries)
 
 
+KPI = f"""{RECURSION},
+kpi AS (
+  SELECT store, product, SUM(forecast_demand) / 30 AS forecast_mean,
+         SUM(forecast_demand) AS forecast_total FROM ahead GROUP BY 1, 2)"""
+
+
+def with_forecast(ctes: str) -> str:
+    """The stock tables with the seasonal-naive forecast in place of the annual demand."""
+    for old, new in (
+            ("annual_demand / 365 AS forecast_daily_demand",
+             "COALESCE(forecast_mean, annual_demand / 365) AS forecast_daily_demand"),
+            ("annual_demand / 365 * 30 AS forecast_30_day_demand",
+             "COALESCE(forecast_total, annual_demand / 365 * 30) AS forecast_30_day_demand"),
+            ("FROM profile),\npolicy", "FROM profile LEFT JOIN kpi USING (store, product)),\npolicy"),
+            ("CAST(NULL AS DOUBLE) AS average_30_day_forecast",
+             "forecast_mean AS average_30_day_forecast"),
+            ("CAST(NULL AS DOUBLE) AS total_30_day_forecast",
+             "forecast_total AS total_30_day_forecast")):
+        ctes = ctes.replace(old, new)
+    return f"{KPI},\n{ctes}"
+
+
+IMPACT_KPIS = (
+    "total_sku_store_pairs:b current_stockout_pairs:b historical_stockout_days:b "
+    "historical_lost_sales_value:d current_inventory_value:d recommended_replenishment_units:d "
+    "critical_inventory_pairs:b reorder_inventory_pairs:b normal_inventory_pairs:b "
+    "low_coverage_pairs_7d:b")
+
+
+def both(name: str, columns: str, body: str, ctes: str) -> dict[str, str]:
+    return {name: oracle(columns, body, with_forecast(ctes)),
+            f"{name}_fallback": oracle(columns, body, ctes)}
+
+
 ORACLES = {
     "inventory_profile": oracle(PROFILE_COLUMNS, "SELECT * FROM profile", PROFILE),
-    "inventory_policy": oracle(POLICY_COLUMNS, "SELECT * FROM policy", POLICY),
-    "economic_order_qty": oracle(ORDER_COLUMNS, "SELECT * FROM sized", POLICY),
-    "inventory_status": oracle(STATUS_COLUMNS, "SELECT * FROM graded", POLICY),
-    "inventory_optimization": oracle(STATUS_COLUMNS, "SELECT * FROM stock_table", INVENTORY),
+    **both("inventory_policy", POLICY_COLUMNS, "SELECT * FROM policy", POLICY),
+    **both("economic_order_qty", ORDER_COLUMNS, "SELECT * FROM sized", POLICY),
+    **both("inventory_status", STATUS_COLUMNS, "SELECT * FROM graded", POLICY),
+    **both("inventory_optimization", STATUS_COLUMNS, "SELECT * FROM stock_table", INVENTORY),
     "inventory_status_summary": oracle(
         "inventory_status pairs:b current_stockouts:b low_coverage_pairs:b all_pairs:b "
         "mean_stockout_rate_pct:d",
@@ -209,7 +244,7 @@ ORACLES = {
                   (SELECT COUNT(*) FROM stock_table) AS all_pairs,
                   (SELECT 100 * AVG(historical_stockout_rate) FROM stock_table)
                     AS mean_stockout_rate_pct
-           FROM stock_table GROUP BY 1""", INVENTORY),
+           FROM stock_table GROUP BY 1""", with_forecast(INVENTORY)),
 
     "supplier_metrics": oracle(METRIC_COLUMNS, "SELECT * FROM service", METRICS),
     "supplier_risk_score": oracle(RISK_COLUMNS, "SELECT * FROM risk", RISK),
@@ -228,29 +263,26 @@ ORACLES = {
              AND product = (SELECT MIN(product) FROM fact
                             WHERE supplier = (SELECT MIN(supplier) FROM fact))""", TEMPORAL),
 
-    "action_priorities": oracle(ACTION_COLUMNS, "SELECT * FROM advised", ACTIONS),
+    **both("action_priorities", ACTION_COLUMNS, "SELECT * FROM advised", ACTIONS),
     "priority_counts": oracle(
         "priority row_count:b",
         "SELECT level AS priority, row_count FROM ("
-        + counts(["URGENT", "HIGH", "MEDIUM", "LOW"], "advised", "priority", "p") + ")", ACTIONS),
+        + counts(["URGENT", "HIGH", "MEDIUM", "LOW"], "advised", "priority", "p") + ")",
+        with_forecast(ACTIONS)),
     "latest_state": oracle(
         "store product date closing_stock:b unit_price:d current_stockout",
         "SELECT * FROM latest", LATEST),
-    "business_impact": oracle(
-        "total_sku_store_pairs:b current_stockout_pairs:b historical_stockout_days:b "
-        "historical_lost_sales_value:d current_inventory_value:d "
-        "recommended_replenishment_units:d critical_inventory_pairs:b reorder_inventory_pairs:b "
-        "normal_inventory_pairs:b low_coverage_pairs_7d:b", "SELECT * FROM impact_row",
-        IMPACT_ROW),
+    **both("business_impact", IMPACT_KPIS, "SELECT * FROM impact_row", IMPACT_ROW),
 
     "validate_finance": oracle(
         "artifact rule passed",
         rules(("finance_summary", "revenue is positive", "revenue > 0", "kpi"),
               ("finance_summary", "cogs is not negative", "cogs >= 0", "kpi"),
               ("finance_summary", "gross profit is revenue minus cogs",
-               "revenue - cogs = revenue - cogs", "kpi"),
+               "ABS((revenue - cogs) - (SELECT SUM(units_sold * (100 * sell_c - 60 * price_c)) "
+               "/ 10000.0 FROM fact)) < 0.01", "kpi"),
               ("finance_summary", "gross margin is between 0 and 100",
-               "revenue >= cogs AND cogs >= 0", "kpi"),
+               "(revenue - cogs) * 100 / revenue BETWEEN 0 AND 100", "kpi"),
               ("finance_summary", "turnover and days of inventory are not negative",
                "turnover >= 0", "kpi")), SUMMARY),
     "validate_abc_impact": oracle(
@@ -261,7 +293,7 @@ ORACLES = {
                "total_sku_store_pairs = (SELECT COUNT(*) FROM profile)", "impact_row"),
               ("business_impact", "values are not negative",
                "historical_lost_sales_value >= 0 AND current_inventory_value >= 0",
-               "impact_row")), f"{IMPACT_ROW},\n{ABC}"),
+               "impact_row")), with_forecast(f"{IMPACT_ROW},\n{ABC}")),
 
     "kpi_strip_without_disruption": oracle(
         "store_product_pairs:b high_priority:b critical_inventory:b reorder_inventory:b "
@@ -271,11 +303,12 @@ ORACLES = {
                   COUNT(*) FILTER (WHERE inventory_status = 'CRITICAL') AS critical_inventory,
                   COUNT(*) FILTER (WHERE inventory_status = 'REORDER') AS reorder_inventory,
                   (SELECT COUNT(*) FROM risk WHERE risk_level = 'HIGH') AS high_risk_suppliers,
-                  0 AS critical_disruptions FROM advised""", ACTIONS),
+                  0 AS critical_disruptions FROM advised""", with_forecast(ACTIONS)),
     "action_view": oracle(
         "priority action store product category supplier inventory_status days_of_stock:d "
         "shortage_to_rop:d recommended_order_qty:d average_30_day_forecast:d risk_level",
-        "SELECT * FROM advised WHERE store = 'ASIA' AND priority = 'MEDIUM'", ACTIONS),
+        "SELECT * FROM advised WHERE store = 'ASIA' AND priority = 'MEDIUM'",
+        with_forecast(ACTIONS)),
     "level_counts": oracle(
         "measure level row_count:b",
         counts(["A", "B", "C"], "abc", "abc_class", "abc_class") + " UNION ALL "

@@ -72,8 +72,14 @@ class Workspace:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        """Stock policy on the fallback forecast, which needs no fitted model."""
-        return write_and_read(inventory.inventory_optimization(self.fact), "inventory")
+        """Stock policy on the seasonal-naive forecast, which needs no fitted model."""
+        return write_and_read(
+            inventory.inventory_optimization(self.fact, self.naive_forecast), "inventory")
+
+    @cached_property
+    def fallback_inventory(self) -> DataFrame:
+        """Stock policy without any forecast."""
+        return write_and_read(inventory.inventory_optimization(self.fact), "inventory-fallback")
 
     @cached_property
     def risk(self) -> DataFrame:
@@ -81,7 +87,8 @@ class Workspace:
 
     @cached_property
     def actions(self) -> DataFrame:
-        return write_and_read(actions.action_priorities(self.inventory, self.risk), "actions")
+        return write_and_read(actions.action_priorities(
+            self.inventory, self.risk, self.naive_forecast), "actions")
 
     @cached_property
     def vectors(self) -> DataFrame:
