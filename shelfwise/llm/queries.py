@@ -68,7 +68,7 @@ def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_host_level_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.host_rules(table(spark, sf_dir, "documents"))
+    return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("shrunk_rate")
 
 
 QUERIES = {
@@ -84,4 +84,70 @@ QUERIES = {
     "op10_host_level_rules": op10_host_level_rules,
 }
 
-ORACLES: dict[str, str] = {}
+SPACES = r"[\x20\x09-\x0D]"
+
+#: SQL of the results that SQL can express; the others are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op4_content_sort_dedup": f"""
+        WITH plain AS (
+          SELECT doc_id, LENGTH(COALESCE(text, '')) AS points,
+                 REGEXP_REPLACE(COALESCE(text, ''), '{SPACES}', '', 'g') AS norm FROM documents),
+        grouped AS (
+          SELECT *, FIRST_VALUE(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id)
+                 AS keep_id, COUNT(*) OVER (PARTITION BY norm) AS group_size FROM plain)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, SHA256(norm) AS text_sha256
+        FROM grouped""",
+    "op10_host_level_rules": f"""
+        WITH plain AS (
+          SELECT doc_id, source AS host, COALESCE(text, '') AS t FROM documents),
+        split AS (
+          SELECT doc_id, host, t,
+                 LIST_FILTER(STRING_SPLIT_REGEX(t, '{SPACES}+'), lambda w: w <> '') AS words,
+                 LIST_FILTER(STRING_SPLIT(t, CHR(10)),
+                             lambda x: LENGTH(REGEXP_REPLACE(x, '{SPACES}', '', 'g')) > 0) AS lines
+          FROM plain),
+        places AS (
+          SELECT doc_id, words, UNNEST(RANGE(1, LEN(words) - 6)) AS i FROM split),
+        windows AS (
+          SELECT doc_id, i, COUNT(*) OVER (
+                   PARTITION BY doc_id, ARRAY_TO_STRING(words[i:i + 7], ' ')) AS n FROM places),
+        covered AS (
+          SELECT doc_id, COUNT(DISTINCT k) AS n_repeat_words
+          FROM (SELECT doc_id, UNNEST(RANGE(i, i + 8)) AS k FROM windows WHERE n > 1)
+          GROUP BY 1),
+        counts AS (
+          SELECT doc_id, host, LEN(words) AS n_words,
+                 LENGTH(REGEXP_REPLACE(t, '{SPACES}', '', 'g')) AS word_chars,
+                 LENGTH(t) - LENGTH(REGEXP_REPLACE(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                 LEN(lines) - LEN(LIST_DISTINCT(lines)) AS n_dup_lines,
+                 COALESCE(n_repeat_words, 0) AS n_repeat_words
+          FROM split LEFT JOIN covered USING (doc_id)),
+        judged AS (
+          SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
+        hosts AS (
+          SELECT host, COUNT(*) AS n_docs, COUNT(*) FILTER (WHERE base_failed) AS n_failed
+          FROM judged WHERE host IS NOT NULL GROUP BY 1),
+        sums AS (
+          SELECT SUM(n_docs) * 1.0 AS n, SUM(n_failed) * 1.0 AS f, COUNT(*) AS k,
+                 SUM(1.0 * n_failed * n_failed / n_docs) AS squares FROM hosts),
+        rates AS (
+          SELECT *, LEAST(GREATEST(f / n, 0.5 / n), 1 - 0.5 / n) AS mean FROM sums),
+        spread AS (
+          SELECT *, GREATEST(squares / n - (f / n) * (f / n), 0) - mean * (1 - mean) * k / n
+            AS apart FROM rates),
+        prior AS (
+          SELECT mean, LEAST(GREATEST(CASE WHEN apart > 0 THEN mean * (1 - mean) / apart - 1
+                                           ELSE 1e6 END, 1), 1e6) AS strength FROM spread),
+        shrunk AS (
+          SELECT host, n_docs, n_failed, (n_failed + mean * strength) / (n_docs + strength) AS rate,
+                 n_docs + strength + 1 AS weight FROM hosts, prior),
+        verdicts AS (
+          SELECT host, n_docs, n_failed, rate - 2 * SQRT(rate * (1 - rate) / weight) > 0.5
+            AS host_failed FROM shrunk)
+        SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               n_repeat_words, base_failed,
+               NOT base_failed AND NOT COALESCE(host_failed, FALSE) AS kept, host, n_docs,
+               n_failed, COALESCE(host_failed, FALSE) AS host_failed
+        FROM judged LEFT JOIN verdicts USING (host)""",
+}

@@ -1,0 +1,14 @@
+"""Queries with SQL, against DuckDB."""
+
+from __future__ import annotations
+
+import pytest
+
+from oracle_check import compare, connect
+from shelfwise.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_matches_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert compare(QUERIES[name](spark, folder), connect(folder), ORACLES[name]) == []
