@@ -48,21 +48,41 @@ def _width(labelled: DataFrame) -> int:
 
 
 def silhouette(labelled: DataFrame) -> DataFrame:
-    """Mean of (b - a) / max(a, b) per run; an entity alone in its cluster counts zero."""
+    """Mean of (b - a) / max(a, b) per run; an entity alone in its cluster counts zero.
+
+    One pass over all pairs of blocks serves all runs. The work is quadratic in the entities, as
+    the measure is by definition.
+    """
     points = _clustered(labelled).select("run", "entity", "vec", "label")
+    # Distances don't depend on the run: one row per entity with its label in every run.
+    entities = points.groupBy("entity").agg(
+        F.first("vec").alias("vec"), F.collect_list("run").alias("runs"),
+        F.collect_list("label").alias("labels")).withColumn("run", F.lit("all"))
+
+    def by_run(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, run and label of every label in the block."""
+        return (np.repeat(np.arange(len(df)), df["runs"].map(len)),
+                np.concatenate(df["runs"].to_numpy()), np.concatenate(df["labels"].to_numpy()))
 
     def sums(x: pd.DataFrame, y: pd.DataFrame, *_) -> pd.DataFrame:
-        labels, code = np.unique(y["label"].to_numpy(), return_inverse=True)
-        member = (code[:, None] == np.arange(labels.size)).astype(float)
-        total = distances(x, y) @ member
-        return pd.DataFrame({
-            "run": x["run"].iloc[0], "entity": np.repeat(x["entity"].to_numpy(), labels.size),
-            "label": np.repeat(x["label"].to_numpy(), labels.size),
-            "other": np.tile(labels, len(x)), "total": total.ravel(),
-            "n": np.tile(member.sum(axis=0).astype(np.int64), len(x))})
+        apart, name = distances(x, y), x["entity"].to_numpy()
+        row, run, label = by_run(x)
+        row_y, run_y, label_y = by_run(y)
+        parts = []
+        for one in np.intersect1d(run, run_y):
+            mine, theirs = run == one, run_y == one
+            labels, code = np.unique(label_y[theirs], return_inverse=True)
+            member = (code[:, None] == np.arange(labels.size)).astype(float)
+            total = apart[np.ix_(row[mine], row_y[theirs])] @ member
+            parts.append(pd.DataFrame({
+                "run": one, "entity": np.repeat(name[row[mine]], labels.size),
+                "label": np.repeat(label[mine], labels.size),
+                "other": np.tile(labels, int(mine.sum())), "total": total.ravel(),
+                "n": np.tile(member.sum(axis=0).astype(np.int64), int(mine.sum()))}))
+        return pd.concat(parts) if parts else pd.DataFrame()
 
     toward = compare_blocks(
-        points, points, blocks_needed(points), sums,
+        entities, entities, blocks_needed(entities), sums,
         "run string, entity string, label int, other int, total double, n long",
     ).groupBy("run", "entity", "label", "other").agg(
         F.sum("total").alias("total"), F.sum("n").alias("n"))
