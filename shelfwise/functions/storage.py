@@ -29,7 +29,20 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Write a columnar table to the shared folder and scan it from there."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``write_and_read`` or ``materialise`` made and nothing will read again."""
+    for table in tables:
+        path = getattr(table, "_written_to", None)
+        if path is not None:
+            jvm = table.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            conf = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import number_rows, percentile_ranks
-from shelfwise.functions.storage import materialise
+from shelfwise.functions.storage import discard, materialise
 from shelfwise.operators.cluster_scores import cluster_scores
 from shelfwise.operators.kmeans import assign_labels, fit_centers
 from shelfwise.operators.pairs import BLOCK, blocks_needed, compare_blocks, distances
@@ -153,20 +153,18 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
 
     In every round all mutually nearest clusters merge. Ward, complete and average linkage are
     reducible, so this builds the same tree as merging one closest pair at a time (equal distances
-    in a scattered but fixed order). An entity
-    keeps the list of merges it went through; leaving out the k - 1 highest merges gives the cut.
+    in a scattered but fixed order). The merges are a table of their own: what all but the k - 1
+    highest of them connect is a cluster.
     """
-    path_type = "array<struct<height: double, turn: int, cluster: string>>"
     start = vectors.select("entity", "vec").withColumn(
         "run", F.explode(F.array(*[F.lit(name) for name in linkages])))
     state = materialise(start.select(
         "run", "entity", "vec", F.col("entity").alias("cluster"),
-        F.lit(1).cast("long").alias("size"), F.lit(0.0).alias("top"),
-        F.array().cast(path_type).alias("path")))
+        F.lit(1).cast("long").alias("size"), F.lit(0.0).alias("top")))
     first = state.first()
     width = len(first["vec"]) if first else 0
     blocks = blocks_needed(state)
-    turn, before = 0, None
+    turn, before, rounds = 0, None, []
     while True:
         near = materialise(_nearest_clusters(state, width, blocks))
         clusters = near.count()
@@ -176,30 +174,32 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
         # Sums of a spread cluster may differ in the last digit by side. Should that leave no
         # mutual pair, the closest pair merges, which is right in any case.
         merges = _closest(near) if clusters == before else _mutual(near)
+        merges = materialise(merges.withColumn("turn", F.lit(turn)))
+        rounds.append(merges)
         before = clusters
         moved = merges.select(
             "run", F.explode(F.array("keep", "gone")).alias("cluster"),
             F.col("keep").alias("_into"), F.col("size").alias("_size"),
             F.col("height").alias("_top"))
-        step = F.struct(F.col("_top").alias("height"), F.lit(turn).alias("turn"),
-                        F.col("_into").alias("cluster"))
+        done = (state, near)
         state = materialise(state.join(moved, ["run", "cluster"], "left").select(
             "run", "entity", "vec", F.coalesce("_into", "cluster").alias("cluster"),
-            F.coalesce("_size", "size").alias("size"), F.coalesce("_top", "top").alias("top"),
-            F.when(F.col("_into").isNull(), F.col("path"))
-            .otherwise(F.concat("path", F.array(step))).alias("path")))
-    if turn == 0 or k <= 1:
-        cut = state.withColumn("_limit", F.lit(None).cast(path_type[6:-1]))
-    else:
-        merge = state.select("run", F.explode("path").alias("m")).distinct()
+            F.coalesce("_size", "size").alias("size"), F.coalesce("_top", "top").alias("top")))
+        discard(*done)
+    nodes = state.select("run", "entity")
+    if not rounds:
+        return _number_labels(nodes.withColumn("name", F.col("entity")))
+    merge = reduce(DataFrame.unionByName, rounds).select(
+        "run", F.col("gone").alias("entity"), F.col("keep").alias("linked"),
+        F.struct("height", "turn", F.col("keep").alias("cluster")).alias("m"))
+    if k > 1:
         highest = F.row_number().over(W.partitionBy("run").orderBy(F.desc("m")))
         # k - 1 rows per linkage.
         limit = merge.withColumn("_n", highest).where(F.col("_n") <= k - 1).groupBy("run").agg(
             F.min("m").alias("_limit"))
-        cut = state.join(F.broadcast(limit), "run", "left")
-    kept = F.filter("path", lambda m: F.col("_limit").isNull() | (m < F.col("_limit")))
-    name = F.coalesce(F.get(kept, F.size(kept) - 1)["cluster"], F.col("entity"))
-    return _number_labels(cut.select("run", "entity", name.alias("name")))
+        merge = merge.join(F.broadcast(limit), "run").where(F.col("m") < F.col("_limit"))
+    # A merged cluster keeps the smaller name, so the root is the name it had at the cut.
+    return _number_labels(_connected(merge, nodes).select("run", "entity", F.col("root").alias("name")))
 
 
 # --- density clusters ------------------------------------------------------------------------
