@@ -19,12 +19,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.functions.storage import materialise
+from shelfwise.llm.batches import sliced
 
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|/\\-_+=~`«»“”‘’¿¡…"
 LONGEST = 40
@@ -77,9 +78,9 @@ def choose_examples(docs: DataFrame, labels: DataFrame, rule: Examples,
     known = materialise(known.where(training_rows(F.col("doc_id"))))
     shares = {row["toxic"]: row["n"] for row in known.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    some = known.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= rule.each).select("doc_id", "toxic")  # bounded: 2 * each rows
+    parts = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(
+        rule.each) for c in (0, 1)]  # each task sends at most so many of its own
+    some = parts[0].union(parts[1])  # bounded: 2 * each rows
     text = F.col("text").cast("string").alias("text")
     return docs.select("doc_id", text).join(F.broadcast(some), "doc_id"), shares
 
@@ -89,7 +90,7 @@ def choose_terms(examples: DataFrame, rule: Examples) -> list[str]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-        for batch in batches:
+        for batch in sliced(batches):
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for term in term_counts(text):
                     counts[term][toxic] += 1
@@ -123,7 +124,7 @@ def sparse_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             found, counts = [], []
             for text in batch.column(2).to_pylist():
                 own: dict[int, int] = {}
