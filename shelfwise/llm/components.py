@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.storage import materialise
+from shelfwise.functions.storage import discard, materialise
 
 
 def _larger_first(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         small = large.join(low, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             low.select("a", F.col("m").alias("b")))
-        edges = materialise(_larger_first(small))
+        done, edges = (edges, large), materialise(_larger_first(small))
+        discard(*done)
         before, state = state, _state(edges)
         if state == before:
             roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
