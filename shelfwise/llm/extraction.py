@@ -4,8 +4,10 @@ Every text leaf has a path of block tags from the root. Text length and punctuat
 path and divided by the path's leaves; the ratios are smoothed along the page, fused by product,
 and paths whose fused ratio reaches the ratios' standard deviation are content. The deepest
 element that holds most of the content paths' text is the article; all blocks inside it that no
-menu, form, advert and the like encloses are returned, headings and short paragraphs too. If only
-the page's body holds them, the content paths and the headings before them are returned.
+menu, form, advert and the like encloses are returned, headings and short paragraphs too. Of an
+<article> or <main> around it, and of the page's body if only that holds the content paths, the
+content paths and the headings before them are returned. Content text inside <article> or <main>
+counts double.
 """
 
 from __future__ import annotations
@@ -43,6 +45,10 @@ ASIDE = re.compile(
     r"footer\w*|foot|masthead|topbar|toolbar|social\w*|share|sharing|sharer|newsletter\w*|"
     r"subscribe|signup|login|search\w*|popup\w*|modal\w*|overlay|widget\w*|related\w*|"
     r"recommend\w*|trending|teasers?|skip|hidden|copyright|legal|disclaimer\w*|form)$")
+#: The same for an <article>, by a whole name: readers' comments and links to other articles.
+ARTICLE_ASIDE = re.compile(
+    r"^(?:(?:\w+-)?comment(?:[-_](?:body|item|entry|content|text|\d+))?|comments|commentlist|disqus|"
+    r"repl(?:y|ies)|responses?|ad|advert\w*|promo\w*|sponsor\w*|teasers?|related\w*|recommend\w*)$")
 #: Names that say what a page's outer elements hold, not what they are.
 LAYOUT = re.compile(r"^(?:has|with|without|no|js)[-_]|[-_](?:with|has|no)[-_]")
 ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alert
@@ -79,7 +85,10 @@ def is_aside(name: str, rest: str, within: bool) -> tuple[bool, str]:
                 key == "style" and re.search(r"display\s*:\s*none", value)):
             return True, ""
     parts = (part for one in names for part in [one, *re.split(r"[-_]+", one)])
-    hit = name not in ("html", "body", "article", "main") and any(map(ASIDE.match, parts))
+    if name == "article":
+        hit = any(map(ARTICLE_ASIDE.match, names))
+    else:
+        hit = name not in ("html", "body", "main") and any(map(ASIDE.match, parts))
     return hit, "".join(f".{one}" for one in names[:2])
 
 
@@ -184,6 +193,21 @@ def content_paths(blocks: list[tuple[Node, str]]) -> set[str]:
     return {path for path, value in total.items() if value >= least}
 
 
+def enclosing(node: Node, names: tuple[str, ...]) -> Node | None:
+    """The nearest element of such a name, the node itself included."""
+    up: Node | None = node
+    while up is not None and up.name not in names:
+        up = up.parent
+    return up
+
+
+def within_element(node: Node, element: Node) -> bool:
+    up: Node | None = node
+    while up is not None and up is not element:
+        up = up.parent
+    return up is element
+
+
 def main_text(page: str | None, share: float = 0.7) -> str:
     """The article's blocks, one line each; empty if the page has none."""
     blocks = text_blocks(page or "")
@@ -191,34 +215,27 @@ def main_text(page: str | None, share: float = 0.7) -> str:
         return ""
     chosen = content_paths(blocks)
     weight: dict[Node, int] = defaultdict(int)
-    marked: dict[Node, int] = defaultdict(int)
     for node, text in blocks:
-        up: Node | None = node
-        while up is not None:
-            weight[up] += len(text) * (node.path in chosen)
-            if up.name in ("article", "main"):
-                marked[up] += len(text)
-            up = up.parent
+        if node.path in chosen:
+            own = len(text) * (2 if enclosing(node, ("article", "main")) else 1)
+            up: Node | None = node
+            while up is not None:
+                weight[up] += own
+                up = up.parent
     root = next(n for n in weight if n.parent is None)
-    least = share * weight[root]
-    if marked:  # the page says itself where its article is
-        best = max(marked, key=lambda n: (n.name == "article", marked[n], -n.place))
-    else:
-        best = max((n for n in weight if weight[n] >= least), key=lambda n: n.place)
-        while best.name in HEADINGS or best.name in ("p", "li", "td", "blockquote", "pre"):
-            best = best.parent  # a leaf alone: its siblings belong to it
-    inside = []
+    best = max((n for n in weight if weight[n] >= share * weight[root]), key=lambda n: n.place)
+    while best.name in HEADINGS or best.name in ("p", "li", "td", "blockquote", "pre"):
+        best = best.parent  # a leaf alone: its siblings belong to it
+    outer = enclosing(best, ("article",)) or enclosing(best, ("main",)) or best
+    whole = best.name not in ("", "html", "body")
+    inside, keep = [], []
     for node, text in blocks:
-        up = node
-        while up is not None and up is not best:
-            up = up.parent
-        if up is best:
+        if within_element(node, outer):
             inside.append((node, text))
-    if best.name in ("", "html", "body"):
-        keep = [node.path in chosen for node, _ in inside]
-        for i in range(len(inside) - 2, -1, -1):
-            keep[i] |= keep[i + 1] and inside[i][0].name in HEADINGS
-        inside = [pair for pair, kept in zip(inside, keep, strict=True) if kept]
+            keep.append(node.path in chosen or whole and within_element(node, best))
+    for i in range(len(inside) - 2, -1, -1):
+        keep[i] |= keep[i + 1] and inside[i][0].name in HEADINGS
+    inside = [pair for pair, kept in zip(inside, keep, strict=True) if kept]
     return "\n".join(text for _, text in inside)
 
 

@@ -272,6 +272,25 @@ def test_article_of_a_page(wrap):
     assert extraction.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+def test_ratios_choose_on_pages_with_an_article():
+    """Neither the readers' comments nor a short unrelated <article> beats the text in <main>."""
+    remark = "<p>Nice, really. I liked it, and more, very much so, yes.</p>"
+    comments = "".join(f'<article class="comment">{remark}</article>' for _ in range(3))
+    main = f"<main><h1>A  title</h1>{BODY.split('</h1>')[1]}</main>"
+    assert extraction.main_text(f"<body>{main}{comments}</body>") == TEXT
+    assert extraction.main_text(f"<body>{main}<article><b>Other page</b></article></body>") == TEXT
+    text = "".join(f"<p>Long text, with marks; part {i}, and more of it, and more.</p>"
+                   for i in range(9))
+    got = extraction.main_text(f'<div class="text">{text}</div><article>Next<p>page</article>')
+    assert got.startswith("Long text") and got.count("\n") == 8
+
+
+def test_an_article_keeps_its_headings_by_the_ratios():
+    text = "<p>Long text, with marks; a part, and more of it, and more.</p>" * 4
+    page = f"<article><h1>Title</h1><div class='x'><div class='text'>{text}</div></div></article>"
+    assert extraction.main_text(f"<body><div>top</div>{page}</body>").split("\n")[0] == "Title"
+
+
 def test_odd_pages():
     assert extraction.main_text(None) == extraction.main_text("") == ""
     assert extraction.main_text("<p>Only one.</p>") == "Only one."
