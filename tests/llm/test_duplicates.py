@@ -143,6 +143,29 @@ def test_compact_windows_hold_each_stretch_once():
             assert len(holds) == 1 and hashes[holds[0][1]] == hashes[i:j + 1].min()
 
 
+def test_edits_side_by_side_do_not_cut_a_passage():
+    """Adjacent words replaced or put in: alike as a whole, though a step is over six places."""
+    for n, at in ((60, 28), (80, 38), (90, 43)):
+        words = [b"w%d" % i for i in range(n)]
+        new = [b"x", b"y", b"z"][:2 if n == 60 else 3]
+        for edited in (words[:at] + new + words[at + len(new):], words[:at] + new + words[at:]):
+            a, b = (passages.shingle_hashes(x) for x in (words, edited))
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            assert true >= 0.8
+            assert passages.alike_passages(a, b, 46, 0.8) == [(0, len(a) - 1, 0, len(b) - 1, true)]
+
+
+def test_every_place_of_a_passage_is_compared():
+    passage = [b"p%d" % i for i in range(60)]
+    fill = [[b"f%d_%d" % (k, i) for i in range(90)] for k in range(4)]
+    one = passages.shingle_hashes(fill[0] + passage)
+    two = passages.shingle_hashes(fill[1] + passage + fill[2] + passage + fill[3])
+    assert sorted(passages.alike_passages(one, two, 46, 0.8)) == [
+        (90, 145, 90, 145, 1.0), (90, 145, 240, 295, 1.0)]
+    assert sorted(passages.alike_passages(two, one, 46, 0.8)) == [
+        (90, 145, 90, 145, 1.0), (240, 295, 90, 145, 1.0)]
+
+
 def planted(spark):
     texts = {i: edge_tables.words(1000 + i, 150).split() for i in range(40)}
     passage = edge_tables.words(77, 60).split()
