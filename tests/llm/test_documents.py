@@ -123,6 +123,17 @@ def test_templates_of_one_leaf_are_merged(spark, chunk_lines):
     assert all(r["lines_dropped"] == 1 for r in got)
 
 
+def test_short_lines_recur_too(spark):
+    """Lines of one and two tokens, also of a script without spaces, go by exact match."""
+    short = ["Les.", "And ornd.", "版权所有，未经许可不得转载。"]
+    texts = [(i, "\n".join([edge_tables.words(70 + i, 30), short[i % 3], f"Page {i}", ""]))
+             for i in range(27)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for r in line_templates.drop_template_lines(docs).collect():
+        assert r["text"].split("\n") == [edge_tables.words(70 + r["doc_id"], 30),
+                                         f"Page {r['doc_id']}", ""]
+
+
 def test_lines_of_edge_rows(spark):
     docs = edge_tables.table(spark)
     got = line_templates.drop_template_lines(docs, min_docs=1)
