@@ -134,6 +134,28 @@ def test_short_lines_recur_too(spark):
                                          f"Page {r['doc_id']}", ""]
 
 
+def test_recurring_lines_do_not_shield_each_other(spark):
+    """Notice and licence on pages of short lines, a passage broken into lines, pages in pairs."""
+    notice, licence = edge_tables.words(9001, 40), edge_tables.words(9002, 40)
+    broken = [edge_tables.words(9010 + k, 25) for k in range(3)]
+    texts, own = {}, {}
+    for i in range(10):
+        own[i] = [edge_tables.words(100 + 3 * i + k, 5) for k in range(3)]
+        texts[i] = [*own[i], notice, licence]
+        own[100 + i] = [edge_tables.words(200 + 3 * i + k, 30) for k in range(3)]
+        texts[100 + i] = [*broken, *own[100 + i]]
+        page = [edge_tables.words(400 + 3 * (i // 2) + k, 30) for k in range(3)]
+        own[200 + i] = [*page[:2], page[2] + f" copy {'abcdefghij'[i]}"]
+        texts[200 + i] = ["All rights are ours alone", *own[200 + i]]
+    for i in range(300, 320):  # copies of one document with a new line each stay whole
+        own[i] = [*(edge_tables.words(900 + k, 30) for k in range(4)), edge_tables.words(i, 30)]
+        texts[i] = own[i]
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in texts.items()],
+                                 "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_template_lines(docs).collect()}
+    assert got == {i: "\n".join(x) for i, x in own.items()}
+
+
 def test_lines_of_edge_rows(spark):
     docs = edge_tables.table(spark)
     got = line_templates.drop_template_lines(docs, min_docs=1)
