@@ -154,6 +154,22 @@ def sparse_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text), text).mapInArrow(run, schema)
 
 
+def document_frequencies(vectors: DataFrame) -> DataFrame:
+    """``term, n``: rows of ``vectors`` with the term, counted in each task before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            terms, counts = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            total.update(dict(zip(terms.tolist(), counts.tolist(), strict=True)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())],
+            ["term", "n"])
+
+    return vectors.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(
+        F.sum("n").alias("n"))
+
+
 class BlockMaxIndex:
     """Exact nearest examples by cosine: postings by term, with each block's largest weight."""
 
@@ -260,8 +276,7 @@ class Voter:
 def fit(vectors: DataFrame, examples: DataFrame, terms: list[str], shares: dict[int, int],
         k: int, prior_weight: float) -> Voter:
     """Index and calibration; the driver gets the examples' vectors and one row per term."""
-    frequency = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n")).collect()
+    frequency = document_frequencies(vectors).collect()  # bounded: one row per term
     total = vectors.count()
     idf = np.full(len(terms), math.log1p(total))
     for row in frequency:
