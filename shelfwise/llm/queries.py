@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from shelfwise.functions.jobs import ship_package
 from shelfwise.llm import (
     bpe,
+    collocations,
     exact,
     extraction,
     host_rules,
     line_templates,
     packing,
     passages,
+    quality_gam,
+    ranked_search,
     secret_forest,
     simhash,
     toxicity,
@@ -73,6 +76,20 @@ def op10_host_level_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("shrunk_rate")
 
 
+def op11_pairwise_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_labelled_toxicity": op2_nearest_labelled_toxicity,
@@ -84,9 +101,19 @@ QUERIES = {
     "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_segment_tree_bpe": op9_segment_tree_bpe,
     "op10_host_level_rules": op10_host_level_rules,
+    "op11_pairwise_gam_quality": op11_pairwise_gam_quality,
+    "op12_hat_trie_collocations": op12_hat_trie_collocations,
+    "op13_best_position_search": op13_best_position_search,
 }
 
 SPACES = r"[\x20\x09-\x0D]"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def lower(text: str) -> str:
+    """SQL that lower-cases A-Z only."""
+    return f"TRANSLATE({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 #: SQL of the results that SQL can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
@@ -152,4 +179,66 @@ ORACLES: dict[str, str] = {
                NOT base_failed AND NOT COALESCE(host_failed, FALSE) AS kept, host, n_docs,
                n_failed, COALESCE(host_failed, FALSE) AS host_failed
         FROM judged LEFT JOIN verdicts USING (host)""",
+    "op12_hat_trie_collocations": f"""
+        WITH pieces AS (
+          SELECT COALESCE(lang, 'und') AS lang, UNNEST(STRING_SPLIT_REGEX(
+            {lower("COALESCE(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        split AS (
+          SELECT lang, LIST_FILTER(STRING_SPLIT_REGEX(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w
+          FROM pieces),
+        grams AS (
+          SELECT lang, m AS size, UNNEST(LIST_TRANSFORM(RANGE(1, LEN(w) - m + 2),
+            lambda i: ARRAY_TO_STRING(w[i:i + m - 1], ' '))) AS phrase
+          FROM split, RANGE(1, 6) AS sizes(m) WHERE m <= LEN(w)),
+        counts AS (
+          SELECT lang, phrase, ANY_VALUE(size) AS size, COUNT(*) AS c FROM grams GROUP BY 1, 2),
+        totals AS (SELECT lang, SUM(c)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY 1),
+        candidates AS (
+          SELECT lang, phrase, size, c AS a, STRING_SPLIT(phrase, ' ') AS w
+          FROM counts WHERE size > 1 AND c >= 100),
+        cuts AS (
+          SELECT d.*, k, ARRAY_TO_STRING(w[1:k], ' ') AS head, ARRAY_TO_STRING(w[k + 1:], ' ') AS tail
+          FROM candidates d, RANGE(1, 5) AS places(k) WHERE k < size),
+        scored AS (
+          SELECT cuts.lang, cuts.phrase, cuts.a, k, x.c AS l, y.c AS r, n,
+                 (1000::HUGEINT * a * n // (x.c::HUGEINT * y.c))::BIGINT AS score
+          FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = head
+          JOIN counts y ON y.lang = cuts.lang AND y.phrase = tail
+          JOIN totals ON totals.lang = cuts.lang),
+        weakest AS (
+          SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (
+            PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        parts AS (
+          SELECT lang, ARRAY_TO_STRING(w[i:i + m - 1], ' ') AS phrase, MAX(a) AS most
+          FROM candidates, RANGE(2, 5) AS sizes(m), RANGE(1, 5) AS places(i)
+          WHERE m < size AND i + m - 1 <= size GROUP BY 1, 2),
+        kept AS (
+          SELECT weakest.* FROM weakest LEFT JOIN parts USING (lang, phrase)
+          WHERE most IS NULL OR most < a),
+        ranked AS (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+            AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
+    "op13_best_position_search": f"""
+        WITH terms AS (
+          SELECT doc_id, UNNEST(REGEXP_EXTRACT_ALL({lower("text")}, '{TERM}')) AS t FROM documents),
+        tf AS (SELECT doc_id, t, COUNT(*) AS tf FROM terms GROUP BY 1, 2),
+        lengths AS (SELECT doc_id, SUM(tf)::BIGINT AS n FROM tf GROUP BY 1),
+        whole AS (SELECT COUNT(*) AS nn, SUM(n)::BIGINT AS ll FROM lengths),
+        df AS (SELECT t, COUNT(*) AS df FROM tf GROUP BY 1),
+        weights AS (
+          SELECT t, FLOOR(1000 * LN((2 * nn + 2) / (2 * df + 1)))::BIGINT AS w FROM df, whole),
+        asked AS (
+          SELECT item_id, t, COUNT(*) AS q FROM (
+            SELECT item_id, UNNEST(REGEXP_EXTRACT_ALL({lower("text")}, '{TERM}')) AS t
+            FROM benchmark) GROUP BY 1, 2),
+        scored AS (
+          SELECT item_id, doc_id, SUM(q * w * ((1000000000 * tf) // (
+            1000 * tf + 8 * (25 + (75 * n * nn) // ll))))::BIGINT AS score
+          FROM asked JOIN weights USING (t) JOIN tf USING (t) JOIN lengths USING (doc_id), whole
+          GROUP BY 1, 2),
+        ranked AS (
+          SELECT item_id, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT
+            AS rank, doc_id, score FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 10""",
 }
