@@ -3,7 +3,8 @@
 A phrase of n words can be frequent only if its first and its last n - 1 words are, so phrases are
 counted by length, each length in one scan. What was frequent one word shorter goes to the tasks as
 a bit filter of bounded size: it lets every frequent phrase pass and few others, and the exact
-counts decide. Each task counts in HAT-tries: a shallow trie over word numbers with hash containers
+counts decide. Before phrases of three words the texts are cut down once to the stretches all of
+whose pairs of words pass; longer phrases are counted in these. Each task counts in HAT-tries: a shallow trie over word numbers with hash containers
 below, which burst into nodes when they grow. Beyond a number of entries the largest subtrees are
 spilled whole as sorted runs. Runs of all tasks are dealt by ranges of (language, phrase), so that
 a prefix partition is split where a prefix is frequent, and merged by adding equal phrases.
@@ -11,7 +12,9 @@ a prefix partition is split where a prefix is frequent, and merged by adding equ
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", BREAK * 10 + b" ")
 BURST = 4096  #: entries of a container before it becomes a node
 HELD = 400_000  #: entries of a task's tries before subtrees are spilled
 WORDS = 1_000_000  #: distinct words that a task numbers before it spills and forgets
-BLOCK = 1 << 21  #: bytes of text that are counted at a time
+BLOCK = 1 << 22  #: bytes of text that are counted at a time
 RUN = 100_000  #: rows of a batch of a sorted run
 MAX_BITS = 27  #: the filter has at most two to this power bits (16 MB)
 
@@ -166,15 +169,24 @@ class PhraseCounter:
         self.words: dict[str, Words] = {}
         self.tries: dict[str, HatTrie] = {}
 
-    def count(self, lang: str, tokens: list[bytes]) -> None:
-        """Add the phrases of consecutive tokens."""
+    def numbers(self, lang: str) -> Words:
         if lang not in self.words:
             self.words[lang], self.tries[lang] = Words(lang, self.allowed), HatTrie(self.burst)
-        words, size = self.words[lang], self.size
-        ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-        if len(ids) < size:
+        return self.words[lang]
+
+    def count(self, lang: str, tokens: list[bytes], times: int = 1) -> None:
+        """Add the phrases of consecutive tokens, each ``times`` its number."""
+        words, size = self.numbers(lang), self.size
+        if size == 1:  # one container, no deeper than its root
+            trie = self.tries[lang]
+            for word, n in Counter(map(words.__getitem__, tokens)).items():
+                if word:
+                    trie.add((word,), n * times)
             return
+        ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
         many = len(ids) - size + 1
+        if many < 1:
+            return
         fine = ids[:many] > 0
         for i in range(1, size):
             fine &= ids[i:many + i] > 0
@@ -193,7 +205,7 @@ class PhraseCounter:
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
         columns = [ids[at[first] + i].tolist() for i in range(size)]
         add = self.tries[lang].add
-        for phrase, n in zip(zip(*columns, strict=True), counts.tolist(), strict=True):
+        for phrase, n in zip(zip(*columns, strict=True), (counts * times).tolist(), strict=True):
             add(phrase, n)
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
@@ -219,40 +231,89 @@ class PhraseCounter:
             yield from self.spill(self.held // 2)
 
 
+def token_blocks(batches: Iterator[pa.RecordBatch], block: int,
+                 ) -> Iterator[tuple[str, int, list[bytes], bool]]:
+    """Language, times, tokens, and whether these go on in the same text as the ones before."""
+    waiting: dict[tuple[str, int], list[bytes]] = {}
+    weight = 0
+    for batch in batches:
+        for lang, text, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            data = text.encode().lower().translate(PIECES).replace(BREAK, b" \xff ")
+            if len(data) > block:
+                for i, tokens in enumerate(word_blocks(data, block)):
+                    yield lang, times, tokens, i > 0
+                continue
+            waiting.setdefault((lang, times), []).append(data)
+            weight += len(data)
+            if weight > block:
+                for (one, n), texts in waiting.items():
+                    yield one, n, b" \xff ".join(texts).split(), False
+                waiting, weight = {}, 0
+    for (one, n), texts in waiting.items():
+        yield one, n, b" \xff ".join(texts).split(), False
+
+
 def phrase_runs(docs: DataFrame, size: int, allowed: BitFilter | None, parts: BitFilter | None,
                 held: int = HELD, burst: int = BURST, block: int = BLOCK) -> DataFrame:
-    """``lang, phrase, n``: every task's sorted runs of phrases of ``size`` words."""
+    """``lang, phrase, n``: every task's sorted runs of phrases of ``size`` words.
+
+    ``docs`` has ``lang, text, times``: a text's phrases count ``times`` their number.
+    """
     sent = docs.sparkSession.sparkContext.broadcast((allowed, parts))  # 2 ** MAX_BITS bits each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PhraseCounter(size, *sent.value, held, burst)
-        waiting: dict[str, list[bytes]] = {}
-        weight = 0
-        for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = text.encode().lower().translate(PIECES).replace(BREAK, b" \xff ")
-                if len(data) > block:
-                    tail: list[bytes] = []
-                    for words in word_blocks(data, block):
-                        words = tail + words
-                        counter.count(lang, words)
-                        tail = words[max(0, len(words) - size + 1):]
-                        yield from counter.overflow()
-                    continue
-                waiting.setdefault(lang, []).append(data)
-                weight += len(data)
-                if weight > block:
-                    yield from counted(counter, waiting)
-                    waiting, weight = {}, 0
-        yield from counted(counter, waiting)
+        tail: list[bytes] = []
+        for lang, times, tokens, goes_on in token_blocks(batches, block):
+            tokens = tail + tokens if goes_on else tokens
+            counter.count(lang, tokens, times)
+            tail = tokens[max(0, len(tokens) - size + 1):]
+            yield from counter.overflow()
         yield from counter.spill(0)
 
-    def counted(counter: PhraseCounter, waiting: dict) -> Iterator[pa.RecordBatch]:
-        for lang, texts in waiting.items():
-            counter.count(lang, b" \xff ".join(texts).split())
-            yield from counter.overflow()
+    return docs.select("lang", "text", "times").mapInArrow(
+        run, "lang string, phrase string, n long")
+
+
+def stretches(counter: PhraseCounter, lang: str, tokens: list[bytes]) -> bytes:
+    """The longest stretches of three words or more whose pairs of words all pass, as lines."""
+    words = counter.numbers(lang)
+    ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+    if len(ids) < 3:
+        return b""
+    pair = counter.parts.has(joined(words.hashes[ids], 2)) & (ids[1:] > 0) & (ids[:-1] > 0)
+    turns = np.flatnonzero(np.diff(pair, prepend=False, append=False))
+    return b"\n".join(b" ".join(tokens[a:b + 1]) for a, b in zip(
+        turns[::2].tolist(), turns[1::2].tolist(), strict=True) if b - a > 1)
+
+
+def cut_down(docs: DataFrame, allowed: BitFilter, pairs: BitFilter, longest: int,
+             block: int = BLOCK) -> DataFrame:
+    """``docs`` without what no frequent phrase of three words or more can hold.
+
+    A text that is cut into blocks repeats the ``longest - 1`` words before a cut in the next
+    block; what these hold on their own is taken off again by a row with ``times`` negated.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((allowed, pairs))  # 2 ** MAX_BITS bits each
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = PhraseCounter(2, *sent.value)
+        tail: list[bytes] = []
+        for lang, times, tokens, goes_on in token_blocks(batches, block):
+            rows = [(stretches(counter, lang, tail + tokens if goes_on else tokens), times)]
+            if goes_on:
+                rows.append((stretches(counter, lang, tail), -times))
+            tail = (tail + tokens if goes_on else tokens)[-(longest - 1):]
+            rows = [r for r in rows if r[0]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows), pa.string()),
+                 pa.array([r[0] for r in rows], pa.binary()).cast(pa.string()),
+                 pa.array([r[1] for r in rows], pa.int32())], ["lang", "text", "times"])
+            for _ in counter.overflow():
+                pass  # only words are held here
 
-    return docs.mapInArrow(run, "lang string, phrase string, n long")
+    return docs.select("lang", "text", "times").mapInArrow(
+        run, "lang string, text string, times int")
 
 
 def merged(runs: DataFrame) -> DataFrame:
@@ -286,8 +347,9 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int, held: int =
     """``lang, phrase, size, n`` of all phrases found ``min_count`` times, and ``lang, total``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN_LANG))
-    docs = docs.select(lang.alias("lang"), text.alias("text")).where("text <> ''")
-    allowed = parts = totals = None
+    docs = docs.select(lang.alias("lang"), text.alias("text"), F.lit(1).alias("times")).where(
+        "text <> ''")
+    allowed = parts = totals = left = None
     levels: list[DataFrame] = []
     for size in range(1, longest + 1):
         runs = materialise(phrase_runs(docs, size, allowed, parts, held, burst, block))
@@ -304,9 +366,10 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int, held: int =
             parts = bit_filter(level, rows, max_bits)
             if size == 1:
                 allowed, parts = parts, None
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.union(level)
+            elif size == 2:
+                docs = left = materialise(cut_down(docs, allowed, parts, longest, block))
+    found = materialise(reduce(DataFrame.union, levels))
+    discard(*levels, *([left] if left is not None else []))
     return found, totals
 
 
@@ -360,7 +423,6 @@ def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, best:
     ``held``, ``burst``, ``block`` and ``max_bits`` bound memory and never change the result.
     """
     found, totals = frequent_phrases(docs, max(1, min_count), longest, held, burst, block, max_bits)
-    found = materialise(found)
     kept = without_parts(weakest_cuts(found, totals))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(
         F.desc("score"), F.desc("a"), "phrase"))
