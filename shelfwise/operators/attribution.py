@@ -2,12 +2,14 @@
 
 A leaf pays its value when every feature on its path fits; a feature left out of the coalition
 counts with the share of training rows that took its branches (Lundberg et al., path-dependent
-values). For one leaf the result depends only on which of its few path features fit, so it is
-tabulated per leaf for all 2^m outcomes and looked up row by row.
+values). What a tree attributes depends only on which of its cuts a row exceeds. So a batch is
+summed up for each tree by these answers, one bit for each cut, and every different set of answers
+is worked out once for all leaves together, weighted by its number of rows or handed back to them.
 """
 
 from __future__ import annotations
 
+from dataclasses import fields
 from math import factorial
 
 import numpy as np
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 from shelfwise.operators.features import FEATURES
 from shelfwise.operators.trees import TreeArrays
 
+TOGETHER = 100_000  #: rows of a task that are attributed at a time
+PART = 1000  #: answers whose leaves are looked up at a time
+
+
 def leaf_games(trees: TreeArrays):
     """Yield per leaf: its value, path features, their (low, high] bounds and branch shares."""
     for t in range(trees.feature.shape[0]):
@@ -38,23 +44,24 @@ def leaf_games(trees: TreeArrays):
                 stack.append((int(child), {**path, feature: (*limits, share * taken)}))
 
 
-def outcome_table(value: float, shares: np.ndarray) -> np.ndarray:
-    """Shapley values [2^m outcomes, m features] of one leaf; bit j set = feature j fits."""
-    m = shares.size
-    fits = (np.arange(2 ** m)[:, None] >> np.arange(m)) & 1
-    table = np.empty((2 ** m, m))
+def outcome_tables(values: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Shapley values [leaves, 2^m outcomes, m features]; bit j of an outcome: feature j fits."""
+    m = shares.shape[1]
+    fits = ((np.arange(2 ** m)[:, None] >> np.arange(m)) & 1).astype(float)
+    tables = np.empty((len(values), 2 ** m, m))
     for j in range(m):
-        # by_size[:, s]: sum over coalitions of s other features of what the leaf still pays.
-        by_size = np.zeros((2 ** m, m))
-        by_size[:, 0] = 1.0
+        # by_size[..., s]: sum over coalitions of s other features of what the leaf still pays.
+        by_size = np.zeros((len(values), 2 ** m, m))
+        by_size[:, :, 0] = 1.0
         for other in range(m):
             if other != j:
-                joined = by_size[:, :-1] * fits[:, other, None]
-                by_size *= shares[other]
-                by_size[:, 1:] += joined
+                joined = by_size[:, :, :-1] * fits[None, :, other, None]
+                by_size *= shares[:, other, None, None]
+                by_size[:, :, 1:] += joined
         weights = [factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)]
-        table[:, j] = value * (fits[:, j] - shares[j]) * (by_size @ np.array(weights))
-    return table
+        tables[:, :, j] = values[:, None] * (fits[None, :, j] - shares[:, j, None]) * (
+            by_size @ np.array(weights))
+    return tables
 
 
 def base_value(trees: TreeArrays) -> float:
@@ -62,20 +69,68 @@ def base_value(trees: TreeArrays) -> float:
     return float(sum(v * np.prod(bounds[:, 2]) for v, _, bounds in leaf_games(trees)))
 
 
+class TreeGame:
+    """All leaves of one tree, their paths filled up to one length with features that always fit.
+
+    Such a feature neither gets a value nor changes another's.
+    """
+
+    def __init__(self, trees: TreeArrays, t: int):
+        one = TreeArrays(*(getattr(trees, f.name)[t:t + 1] for f in fields(TreeArrays)))
+        leaves = [leaf for leaf in leaf_games(one) if leaf[1]]
+        inner = np.flatnonzero(one.feature[0] >= 0)
+        self.cuts = [(int(one.feature[0, i]), float(one.threshold[0, i])) for i in inner]
+        if not leaves:
+            return
+        m = max(len(names) for _, names, _ in leaves)
+        self.of = np.zeros((len(leaves), m), np.int64)
+        bounds = np.tile([-np.inf, np.inf, 1.0], (len(leaves), m, 1))
+        for i, (_, names, own) in enumerate(leaves):
+            self.of[i, :len(names)], bounds[i, :len(names)] = names, own
+        self.low, self.high = bounds[:, :, 0], bounds[:, :, 1]
+        self.tables = outcome_tables(np.array([v for v, _, _ in leaves]), bounds[:, :, 2])
+
+    def answers(self, x: np.ndarray) -> np.ndarray:
+        """Rows of 64 bits each, as many as the tree's cuts need."""
+        packed = np.zeros((len(x), -(-len(self.cuts) // 64) or 1), np.uint64)
+        for i, (feature, cut) in enumerate(self.cuts):
+            packed[:, i // 64] |= (x[:, feature] > cut).astype(np.uint64) << np.uint64(i % 64)
+        return packed
+
+    def values(self, x: np.ndarray) -> np.ndarray:
+        total = np.zeros_like(x)
+        leaf, m = np.arange(len(self.of)), self.of.shape[1]
+        onto = np.zeros((self.of.size, x.shape[1]))
+        onto[np.arange(self.of.size), self.of.ravel()] = 1
+        for start in range(0, len(x), PART):
+            part = x[start:start + PART][:, self.of]
+            fits = (part > self.low) & (part <= self.high)
+            outcome = fits @ (1 << np.arange(m))
+            total[start:start + PART] = self.tables[leaf, outcome].reshape(len(part), -1) @ onto
+        return total
+
+
 class Attributor:
-    """Shapley values for batches of rows; built once per task from the broadcast trees."""
+    """Shapley values of batches of rows."""
 
     def __init__(self, trees: TreeArrays):
-        self.leaves = [(names, bounds, outcome_table(value, bounds[:, 2]))
-                       for value, names, bounds in leaf_games(trees) if names]
+        self.trees = trees
+
+    def _by_answers(self, x: np.ndarray):
+        """For each tree its values of the different answers, and the answers of each row."""
+        for t in range(self.trees.feature.shape[0]):
+            game = TreeGame(self.trees, t)
+            if game.cuts:
+                packed = game.answers(x)
+                key = packed[:, 0] if packed.shape[1] == 1 else packed.view(
+                    [("", np.uint64)] * packed.shape[1]).ravel()
+                _, first, of = np.unique(key, return_index=True, return_inverse=True)
+                yield game.values(x[first]), of
 
     def values(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros_like(x)
-        for names, bounds, table in self.leaves:
-            part = x[:, names]
-            fits = (part > bounds[:, 0]) & (part <= bounds[:, 1])
-            outcome = fits @ (1 << np.arange(len(names)))
-            total[:, names] += table[outcome]
+        for found, of in self._by_answers(x):
+            total += found[of]
         return total
 
 
@@ -86,10 +141,20 @@ def feature_attribution(trees: TreeArrays, rows: DataFrame,
     shared = spark.sparkContext.broadcast(trees)
 
     def partial_sums(batches):
-        attributor = Attributor(shared.value)
+        attributor, waiting, many = Attributor(shared.value), [], 0
+
+        def sums():
+            size = np.abs(attributor.values(np.concatenate(waiting))).sum(axis=0)
+            return pd.DataFrame({"feature": features, "size": size, "n": many})
+
         for batch in batches:
-            size = np.abs(attributor.values(batch[features].to_numpy(float))).sum(axis=0)
-            yield pd.DataFrame({"feature": features, "size": size, "n": len(batch)})
+            waiting.append(batch[features].to_numpy(float))
+            many += len(batch)
+            if many >= TOGETHER:
+                yield sums()
+                waiting, many = [], 0
+        if many:
+            yield sums()
 
     spread = rows.select(*[F.col(f).cast("double").alias(f) for f in features]).repartition(
         spark.sparkContext.defaultParallelism)

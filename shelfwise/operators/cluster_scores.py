@@ -11,7 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.pairs import blocks_needed, compare_blocks, distances
+from shelfwise.functions.ordering import number_rows
+from shelfwise.functions.storage import materialise
+from shelfwise.operators.pairs import BLOCK, blocks_needed, compare_blocks, distances
+from shelfwise.operators.spatial import compare_all
 
 
 def _clustered(labelled: DataFrame) -> DataFrame:
@@ -50,42 +53,40 @@ def _width(labelled: DataFrame) -> int:
 def silhouette(labelled: DataFrame) -> DataFrame:
     """Mean of (b - a) / max(a, b) per run; an entity alone in its cluster counts zero.
 
-    One pass over all pairs of blocks serves all runs. The work is quadratic in the entities, as
-    the measure is by definition.
+    One pass over all unordered pairs of blocks serves all runs and both directions. The work is
+    quadratic in the entities, as the measure is by definition.
     """
-    points = _clustered(labelled).select("run", "entity", "vec", "label")
-    # Distances don't depend on the run: one row per entity with its label in every run.
-    entities = points.groupBy("entity").agg(
-        F.first("vec").alias("vec"), F.collect_list("run").alias("runs"),
-        F.collect_list("label").alias("labels")).withColumn("run", F.lit("all"))
-
-    def by_run(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, run and label of every label in the block."""
-        return (np.repeat(np.arange(len(df)), df["runs"].map(len)),
-                np.concatenate(df["runs"].to_numpy()), np.concatenate(df["labels"].to_numpy()))
-
-    def sums(x: pd.DataFrame, y: pd.DataFrame, *_) -> pd.DataFrame:
-        apart, name = distances(x, y), x["entity"].to_numpy()
-        row, run, label = by_run(x)
-        row_y, run_y, label_y = by_run(y)
+    points = materialise(_clustered(labelled).select("run", "entity", "vec", "label"))
+    sizes = materialise(points.groupBy("run", "label").agg(F.count(F.lit(1)).alias("n")))
+    # Distances don't depend on the run: one row per entity with the numbers of its labels, one
+    # for each run and label that there is.
+    codes = materialise(number_rows(sizes, [F.col("run"), F.col("label")], "code"))
+    own = points.join(codes, ["run", "label"])
+    entities = materialise(own.groupBy("entity").agg(
+        F.first("vec").alias("vec"), F.collect_list(F.col("code").cast("int")).alias("codes")))
+
+    def sums(x: pd.DataFrame, y: pd.DataFrame, same: bool) -> pd.DataFrame:
+        apart = distances(x, y)
+        sides = [(x, apart, y)] if same else [(x, apart, y), (y, apart.T, x)]
         parts = []
-        for one in np.intersect1d(run, run_y):
-            mine, theirs = run == one, run_y == one
-            labels, code = np.unique(label_y[theirs], return_inverse=True)
-            member = (code[:, None] == np.arange(labels.size)).astype(float)
-            total = apart[np.ix_(row[mine], row_y[theirs])] @ member
+        for one, matrix, others in sides:
+            held, code = np.unique(np.concatenate(others["codes"].to_numpy()), return_inverse=True)
+            members = np.zeros((len(others), held.size))
+            members[np.repeat(np.arange(len(others)), others["codes"].map(len)), code] = 1
             parts.append(pd.DataFrame({
-                "run": one, "entity": np.repeat(name[row[mine]], labels.size),
-                "label": np.repeat(label[mine], labels.size),
-                "other": np.tile(labels, int(mine.sum())), "total": total.ravel(),
-                "n": np.tile(member.sum(axis=0).astype(np.int64), int(mine.sum()))}))
-        return pd.concat(parts) if parts else pd.DataFrame()
-
-    toward = compare_blocks(
-        entities, entities, blocks_needed(entities), sums,
-        "run string, entity string, label int, other int, total double, n long",
-    ).groupBy("run", "entity", "label", "other").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n"))
+                "entity": one["entity"], "codes": [held.tolist()] * len(one),
+                "totals": (matrix @ members).tolist()}))
+        return pd.concat(parts)
+
+    blocks = max(1, -(-entities.count() // BLOCK))
+    toward = compare_all(entities, blocks, ["entity", "vec", "codes"], sums,
+                         "entity string, codes array<int>, totals array<double>")
+    toward = toward.select("entity", F.explode(F.arrays_zip("codes", "totals")).alias("t")).groupBy(
+        "entity", F.col("t.codes").alias("code")).agg(F.sum("t.totals").alias("total"))
+    of = codes.select(F.col("code").cast("int").alias("code"), "run",
+                      F.col("label").alias("other"), "n")
+    toward = points.select("run", "entity", "label").join(
+        toward.join(of, "code"), ["run", "entity"])
     own = F.col("label") == F.col("other")
     per_entity = toward.groupBy("run", "entity").agg(
         F.max(F.when(own, F.col("n"))).alias("mates"),

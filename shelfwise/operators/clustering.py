@@ -19,6 +19,7 @@ from shelfwise.functions.storage import discard, materialise
 from shelfwise.operators.cluster_scores import cluster_scores
 from shelfwise.operators.kmeans import assign_labels, fit_centers
 from shelfwise.operators.pairs import BLOCK, blocks_needed, compare_blocks, distances
+from shelfwise.operators.spatial import compare_near, near_pairs, spatial_blocks
 
 # Fixed parameters of the comparison.
 SEED = 42
@@ -26,6 +27,7 @@ INITS = 20
 LINKAGES = ("ward", "complete", "average")
 EPS = (0.5, 0.75, 1.0, 1.25, 1.5)
 NOISE = -1
+LAST = 512  #: clusters of a run that are merged in one task
 
 
 def _number_labels(members: DataFrame) -> DataFrame:
@@ -69,16 +71,20 @@ def _pair_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(1)).astype(np.int64)
 
 
-def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
-    """Nearest other cluster of every cluster, with the size and last merge height of both.
+def _cluster_rows(state: DataFrame, width: int) -> DataFrame:
+    rows = state.where(F.col("run") != "ward").select(
+        "run", "entity", "vec", "cluster", "size", "top", F.col("size").alias("members"))
+    return rows.unionByName(_ward_rows(state, width)).withColumn("mark", F.xxhash64("cluster"))
+
+
+def _cluster_pairs(left: DataFrame, right: DataFrame, blocks: int, every: bool) -> DataFrame:
+    """Distances of the clusters of ``left`` to others, with the size and last merge height.
 
     Blocks are made of clusters; one with more than ``BLOCK`` members is spread over several.
     Two clusters that are whole in a pair of blocks are settled there, and only the nearest
-    leaves. A pair with a spread cluster leaves as one partial sum or maximum.
+    leaves, unless ``every`` pair is asked for. A pair with a spread cluster leaves as one partial
+    sum or maximum, completed here.
     """
-    rows = state.where(F.col("run") != "ward").select(
-        "run", "entity", "vec", "cluster", "size", "top", F.col("size").alias("members"))
-    rows = rows.unionByName(_ward_rows(state, width)).withColumn("mark", F.xxhash64("cluster"))
     pieces = F.ceil(F.col("members") / BLOCK)
     piece = F.when(pieces > 1, F.pmod(F.xxhash64("entity"), pieces)).otherwise(F.lit(0))
 
@@ -97,7 +103,7 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
             value = np.sqrt(weight) * value
         whole_a = x["members"].to_numpy()[a_at] <= BLOCK
         whole_b = y["members"].to_numpy()[b_at] <= BLOCK
-        settled = whole_a[:, None] & whole_b[None, :]
+        settled = whole_a[:, None] & whole_b[None, :] & (not every)
         other = a[:, None] != b[None, :]
         scale = a_size[:, None] * b_size if linkage == "average" else 1.0
         final = np.where(settled & other, np.round(value / scale, 10), np.inf)
@@ -116,7 +122,7 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
             "top": np.maximum(a_top[i], b_top[j])})
 
     found = compare_blocks(
-        rows, rows, blocks, nearest,
+        left, right, blocks, nearest,
         "run string, cluster string, other string, value double, partial boolean, turn long, "
         "size long, other_size long, top double",
         key=F.xxhash64("cluster", piece))
@@ -125,9 +131,12 @@ def _nearest_clusters(state: DataFrame, width: int, blocks: int) -> DataFrame:
     total = F.when(average, F.sum("value") / (F.col("size") * F.col("other_size"))).otherwise(
         F.max("value"))
     pair = ["run", "cluster", "other", "partial", "turn", "size", "other_size", "top"]
-    merged = found.groupBy(*pair).agg(F.round(total, 10).alias("value"))
+    return found.groupBy(*pair).agg(F.round(total, 10).alias("value"))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
     near = F.struct("value", "turn", "other", (F.col("size") + F.col("other_size")).alias("size"), "top")
-    return merged.groupBy("run", "cluster").agg(F.min(near).alias("near")).select(
+    return pairs.groupBy("run", "cluster").agg(F.min(near).alias("near")).select(
         "run", "cluster", "near.*")
 
 
@@ -148,13 +157,69 @@ def _closest(near: DataFrame) -> DataFrame:
         "run", "m.keep", "m.gone", F.greatest("m.value", "m.top").alias("height"), "m.size")
 
 
+def _merge_all(keys: tuple, pairs: pd.DataFrame) -> pd.DataFrame:
+    """All merges of one run, from the distances of all pairs of its clusters (``LAST`` at most)."""
+    run = keys[0]
+    names = np.unique(pairs["cluster"].to_numpy())
+    at, to = (np.searchsorted(names, pairs[c].to_numpy()) for c in ("cluster", "other"))
+    apart = np.full((len(names), len(names)), np.inf)
+    turn = np.zeros((len(names), len(names)), np.int64)
+    size = np.zeros(len(names), np.int64)
+    apart[at, to], turn[at, to] = pairs["value"].to_numpy(), pairs["turn"].to_numpy()
+    size[at] = pairs["size"].to_numpy()
+    top = np.zeros(len(names))
+    top[at] = pairs["own_top"].to_numpy()
+    merges = []
+    for step in range(len(names) - 1):
+        shown = np.round(apart, 10)
+        rows, columns = np.nonzero(shown == shown.min())
+        closest = turn[rows, columns].argmin()
+        keep, gone = sorted((int(rows[closest]), int(columns[closest])))
+        height = max(shown[keep, gone], top[keep], top[gone])
+        a, b, c = size[keep], size[gone], size
+        if run == "complete":
+            new = np.maximum(apart[keep], apart[gone])
+        elif run == "average":
+            new = (a * apart[keep] + b * apart[gone]) / (a + b)
+        else:
+            square = ((a + c) * apart[keep] ** 2 + (b + c) * apart[gone] ** 2
+                      - c * apart[keep, gone] ** 2) / (a + b + c)
+            new = np.sqrt(np.maximum(square, 0))
+        new[[keep, gone]] = np.inf
+        apart[keep], apart[:, keep] = new, new
+        apart[gone], apart[:, gone] = np.inf, np.inf
+        size[keep], top[keep] = a + b, height
+        merges.append((run, names[keep], names[gone], height, int(a + b), step))
+    return pd.DataFrame(merges, columns=["run", "keep", "gone", "height", "size", "turn"])
+
+
+def _names_at_cut(merges: list, k: int) -> dict[tuple[str, str], str]:
+    """Cluster of each merged entity when all but the k - 1 highest merges of its run are made."""
+    above: dict[tuple[str, str], str] = {}
+    for run in {m["run"] for m in merges}:
+        own = sorted((m for m in merges if m["run"] == run),
+                     key=lambda m: (m["height"], m["turn"], m["keep"]))
+        for m in own[:len(own) - (k - 1)] if k > 1 else own:
+            above[run, m["gone"]] = m["keep"]
+
+    def root(run: str, name: str) -> str:
+        while (run, name) in above:
+            name = above[run, name]
+        return name
+
+    return {(run, gone): root(run, gone) for run, gone in above}
+
+
 def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) -> DataFrame:
     """Agglomerative clusters for all linkages together, cut at ``k`` clusters each.
 
-    In every round all mutually nearest clusters merge. Ward, complete and average linkage are
-    reducible, so this builds the same tree as merging one closest pair at a time (equal distances
-    in a scattered but fixed order). The merges are a table of their own: what all but the k - 1
-    highest of them connect is a cluster.
+    While a run has more than ``LAST`` clusters, all mutually nearest ones merge in every round;
+    the table of nearest clusters is kept, and only clusters that merged or whose nearest did are
+    compared again. What is left merges in one task, from the distances of all pairs of clusters,
+    which one pass over the entities gives. Ward, complete and average linkage are reducible, so
+    this builds the same tree as merging one closest pair at a time (equal distances in a scattered
+    but fixed order). The merges are a table of their own: what all but the k - 1 highest of them
+    connect is a cluster.
     """
     start = vectors.select("entity", "vec").withColumn(
         "run", F.explode(F.array(*[F.lit(name) for name in linkages])))
@@ -162,15 +227,25 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
         "run", "entity", "vec", F.col("entity").alias("cluster"),
         F.lit(1).cast("long").alias("size"), F.lit(0.0).alias("top")))
     first = state.first()
-    width = len(first["vec"]) if first else 0
-    blocks = blocks_needed(state)
-    turn, before, rounds = 0, None, []
-    while True:
-        near = materialise(_nearest_clusters(state, width, blocks))
-        clusters = near.count()
-        if clusters == 0:
-            break
-        turn += 1
+    if first is None:
+        return _number_labels(state.select("run", "entity", F.col("cluster").alias("name")))
+    width, blocks = len(first["vec"]), blocks_needed(state)
+    turn, before, rounds, near, moved = 0, None, [], None, None
+    while state.groupBy("run").agg(F.countDistinct("cluster").alias("n")).agg(
+            F.max("n")).first()[0] > LAST:
+        rows = materialise(_cluster_rows(state, width))
+        if near is None:
+            fresh = _nearest(_cluster_pairs(rows, rows, blocks, False))
+        else:
+            # Merging brings no cluster nearer, so only the nearest of these can have changed.
+            kept = near.join(moved.select("run", "cluster"), ["run", "cluster"], "left_anti").join(
+                moved.select("run", F.col("cluster").alias("other")), ["run", "other"], "left_anti")
+            kept = materialise(kept.select(*near.columns))
+            stale = rows.join(kept.select("run", "cluster"), ["run", "cluster"], "left_anti")
+            fresh = kept.unionByName(_nearest(_cluster_pairs(stale, rows, blocks, False)))
+        near = materialise(fresh)
+        discard(rows)
+        clusters, turn = near.count(), turn + 1
         # Sums of a spread cluster may differ in the last digit by side. Should that leave no
         # mutual pair, the closest pair merges, which is right in any case.
         merges = _closest(near) if clusters == before else _mutual(near)
@@ -181,15 +256,25 @@ def hierarchical_clusters(vectors: DataFrame, linkages=LINKAGES, k: int = 4) ->
             "run", F.explode(F.array("keep", "gone")).alias("cluster"),
             F.col("keep").alias("_into"), F.col("size").alias("_size"),
             F.col("height").alias("_top"))
-        done = (state, near)
-        state = materialise(state.join(moved, ["run", "cluster"], "left").select(
+        done, state = state, materialise(state.join(moved, ["run", "cluster"], "left").select(
             "run", "entity", "vec", F.coalesce("_into", "cluster").alias("cluster"),
             F.coalesce("_size", "size").alias("size"), F.coalesce("_top", "top").alias("top")))
-        discard(*done)
+        discard(done)
+    rows = materialise(_cluster_rows(state, width))
+    tops = state.groupBy("run", "cluster").agg(F.max("top").alias("own_top"))
+    last = materialise(_cluster_pairs(rows, rows, blocks, True).join(
+        tops, ["run", "cluster"]).groupBy("run").applyInPandas(
+        _merge_all, "run string, keep string, gone string, height double, size long, turn int"
+    ).withColumn("turn", F.col("turn") + turn + 1))
     nodes = state.select("run", "entity")
     if not rounds:
-        return _number_labels(nodes.withColumn("name", F.col("entity")))
-    merge = reduce(DataFrame.unionByName, rounds).select(
+        names = _names_at_cut(last.collect(), k)  # LAST - 1 rows of each run at most
+        table = vectors.sparkSession.createDataFrame(
+            [(run, gone, root) for (run, gone), root in names.items()],
+            "run string, entity string, root string")
+        return _number_labels(nodes.join(table, ["run", "entity"], "left").select(
+            "run", "entity", F.coalesce("root", "entity").alias("name")))
+    merge = reduce(DataFrame.unionByName, [*rounds, last]).select(
         "run", F.col("gone").alias("entity"), F.col("keep").alias("linked"),
         F.struct("height", "turn", F.col("keep").alias("cluster")).alias("m"))
     if k > 1:
@@ -245,56 +330,70 @@ def dbscan_clusters(vectors: DataFrame, eps=EPS, min_samples: int = 5) -> DataFr
     """Density clusters for each radius together; runs are named ``eps=<eps>``, noise is -1.
 
     A core has ``min_samples`` entities within the radius, itself included. Cores within the
-    radius of each other share a cluster; a border entity joins the first such cluster.
+    radius of each other share a cluster; a border entity joins the first such cluster. Only blocks
+    whose boxes are within the largest radius are compared, once to count neighbours for all radii
+    and once to link them.
     """
-    radii = F.explode(F.array(*[
-        F.struct(F.lit(f"eps={e}").alias("run"), F.lit(float(e)).alias("eps")) for e in eps]))
-    points = materialise(vectors.select("entity", "vec", radii.alias("r")).select(
-        "r.run", "r.eps", "entity", "vec"))
-    blocks = blocks_needed(points)
-
-    def near(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
-        return distances(x, y) <= x["eps"].iloc[0]
-
-    def counts(x: pd.DataFrame, y: pd.DataFrame, *_) -> pd.DataFrame:
-        return pd.DataFrame({"run": x["run"].iloc[0], "entity": x["entity"],
-                             "n": near(x, y).sum(axis=1)})
-
-    neighbours = compare_blocks(points, points, blocks, counts,
-                                "run string, entity string, n long")
-    cores = neighbours.groupBy("run", "entity").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= min_samples).select("run", "entity")
-    cores = materialise(points.join(cores, ["run", "entity"]))
-
-    def links(x: pd.DataFrame, y: pd.DataFrame, a: int, b: int) -> pd.DataFrame:
-        # A spanning forest of the two blocks: a dense group leaves one row per entity.
-        if a > b:
-            return pd.DataFrame()
-        both = x if a == b else pd.concat([x, y], ignore_index=True)
-        both = both.sort_values("entity", kind="stable")
-        root = _local_links(near(both, both))
-        names = both["entity"].to_numpy()
-        return pd.DataFrame({"run": both["run"].iloc[0], "entity": names, "linked": names[root]})
-
-    linked = compare_blocks(cores, cores, blocks, links,
-                            "run string, entity string, linked string")
-    roots = materialise(_connected(linked.where(F.col("entity") != F.col("linked")), cores))
-    named = cores.join(roots, ["run", "entity"])
-    border = points.join(cores.select("run", "entity"), ["run", "entity"], "left_anti")
-
-    def adopt(x: pd.DataFrame, y: pd.DataFrame, *_) -> pd.DataFrame:
-        roots = np.sort(y["root"].unique())
-        order = np.searchsorted(roots, y["root"].to_numpy())
-        first = np.where(near(x, y), order[None, :], roots.size).min(axis=1)
-        found = first < roots.size
-        return pd.DataFrame({"run": x["run"].iloc[0], "entity": x["entity"].to_numpy()[found],
-                             "name": roots[first[found]]})
-
-    adopted = compare_blocks(border, named, blocks, adopt,
-                             "run string, entity string, name string")
-    members = roots.select("run", "entity", F.col("root").alias("name")).unionByName(
-        adopted.groupBy("run", "entity").agg(F.min("name").alias("name")))
-    return _number_labels(points.select("run", "entity").join(members, ["run", "entity"], "left"))
+    names, radii = [f"eps={e}" for e in eps], np.array([float(e) for e in eps])
+    placed = spatial_blocks(vectors.select("entity", "vec"))
+    if placed.isEmpty():
+        return _number_labels(placed.select(F.lit("").alias("run"), "entity", F.lit(None).cast(
+            "string").alias("name")))
+    pairs = materialise(near_pairs(placed, float(radii.max())))
+
+    def counts(x: pd.DataFrame, y: pd.DataFrame, same: bool) -> pd.DataFrame:
+        close = distances(x, y)[:, :, None] <= radii
+        found = [(x, close.sum(axis=1))] if same else [(x, close.sum(axis=1)),
+                                                       (y, close.sum(axis=0))]
+        return pd.DataFrame({"entity": np.concatenate([side["entity"] for side, _ in found]),
+                             "n": np.concatenate([n for _, n in found]).tolist()})
+
+    neighbours = compare_near(placed, pairs, ["entity", "vec"], counts,
+                              "entity string, n array<long>")
+    many = neighbours.groupBy("entity").agg(F.array(*[
+        F.sum(F.col("n")[i]) >= min_samples for i in range(len(radii))]).alias("core"))
+    placed = materialise(placed.join(many, "entity"))
+
+    def links(x: pd.DataFrame, y: pd.DataFrame, same: bool) -> pd.DataFrame:
+        apart, parts = distances(x, y), []
+        core_x, core_y = (np.stack(side["core"].to_numpy()) for side in (x, y))
+        name_x, name_y = x["entity"].to_numpy(), y["entity"].to_numpy()
+
+        def tell(i: int, entity: np.ndarray, linked: np.ndarray, core: bool) -> None:
+            parts.append(pd.DataFrame({"run": names[i], "entity": entity, "linked": linked,
+                                       "core": core}))
+
+        for i, radius in enumerate(radii):
+            near, a, b = apart <= radius, core_x[:, i], core_y[:, i]
+            # A spanning forest of the near cores: a dense group leaves one row per entity.
+            between = near[np.ix_(a, b)]
+            if same:
+                own, close = name_x[a], between
+            else:
+                own = np.concatenate([name_x[a], name_y[b]])
+                close = np.eye(own.size, dtype=bool)
+                close[:a.sum(), a.sum():], close[a.sum():, :a.sum()] = between, between.T
+            root = _local_links(close) if own.size else np.zeros(0, int)
+            moved = root != np.arange(own.size)
+            tell(i, own[moved], own[root[moved]], True)
+            # A border entity has fewer than min_samples cores near it.
+            row, column = np.nonzero(near & ~a[:, None] & b[None, :])
+            tell(i, name_x[row], name_y[column], False)
+            if not same:
+                row, column = np.nonzero(near & a[:, None] & ~b[None, :])
+                tell(i, name_y[column], name_x[row], False)
+        return pd.concat(parts)
+
+    linked = materialise(compare_near(placed, pairs, ["entity", "vec", "core"], links,
+                                      "run string, entity string, linked string, core boolean"))
+    by_run = placed.select("entity", F.posexplode("core").alias("i", "is_core")).withColumn(
+        "run", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1))
+    roots = _connected(linked.where("core"), by_run.where("is_core").select("run", "entity"))
+    adopted = linked.where("not core").join(
+        roots.withColumnRenamed("entity", "linked"), ["run", "linked"]).groupBy(
+        "run", "entity").agg(F.min("root").alias("name"))
+    members = roots.select("run", "entity", F.col("root").alias("name")).unionByName(adopted)
+    return _number_labels(by_run.select("run", "entity").join(members, ["run", "entity"], "left"))
 
 
 # --- comparison and choice -------------------------------------------------------------------

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster_scores, clustering, disruption, kmeans, pairs
+from shelfwise.operators import cluster_scores, clustering, disruption, kmeans, pairs, spatial
 from shelfwise.operators.anomaly import expected_depth, isolation_forest
 
 
@@ -27,6 +27,10 @@ def small_blocks(monkeypatch):
     """Blocks of five rows, so that clusters are spread over several of them."""
     monkeypatch.setattr(pairs, "BLOCK", 5)
     monkeypatch.setattr(clustering, "BLOCK", 5)
+    monkeypatch.setattr(cluster_scores, "BLOCK", 5)
+    monkeypatch.setattr(clustering, "LAST", 4)
+    whole = clustering.spatial_blocks
+    monkeypatch.setattr(clustering, "spatial_blocks", lambda df: whole(df, 5))
 
 
 def greedy(x, linkage, k):
@@ -250,3 +254,63 @@ def test_chosen_labels_are_those_that_were_scored(spark):
         assert {tuple(r) for r in got.collect()} == {(r.entity, r.label) for r in want.collect()}
         assert got.count() == 40
     assert clustering.labels_of_choice(labelled, "K-Means", 99.0).isEmpty()
+
+
+def test_all_merges_in_one_task_match_greedy(spark):
+    x = np.random.default_rng(5).normal(size=(30, 3))
+    got = clustering.hierarchical_clusters(frame(spark, x), k=5)
+    for linkage in clustering.LINKAGES:
+        assert labels_of(got, linkage) == greedy(x, linkage, 5), linkage
+
+
+def test_only_clusters_beside_merges_are_compared_again(spark, small_blocks, monkeypatch):
+    compared = []
+    pairs_of = clustering._cluster_pairs
+
+    def counted(left, right, blocks, every):
+        if not every:
+            compared.append((left.select("run", "cluster").distinct().count(),
+                             right.select("run", "cluster").distinct().count()))
+        return pairs_of(left, right, blocks, every)
+
+    monkeypatch.setattr(clustering, "_cluster_pairs", counted)
+    x = np.random.default_rng(2).normal(size=(26, 3))
+    got = clustering.hierarchical_clusters(frame(spark, x), ("complete",), k=4)
+    assert labels_of(got) == greedy(x, "complete", 4)
+    assert compared[0] == (26, 26) and len(compared) > 1
+    assert all(left < right for left, right in compared[1:])
+
+
+def test_far_blocks_are_never_paired(spark):
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(c, 0.1, (40, 2)) for c in ((0, 0), (9, 0), (0, 9), (9, 9))]
+                  + [np.full((30, 2), 4.5)])
+    placed = spatial.spatial_blocks(frame(spark, x), 10)
+    sizes = [r["count"] for r in placed.groupBy("block").count().collect()]
+    assert sum(sizes) == len(x) and len(sizes) >= 16
+    links = spatial.near_pairs(placed, 0.5)
+    found = {(r.a, r.b) for r in links.collect()}
+    vec = {}
+    for row in placed.collect():
+        vec.setdefault(row.block, []).append(row.vec)
+    near = {(a, b) for a in vec for b in vec if a <= b
+            and min(np.linalg.norm(np.subtract(p, q)) for p in vec[a] for q in vec[b]) <= 0.5}
+    assert near <= found
+    assert len(found) < len(vec) * (len(vec) + 1) / 4
+    assert all(a <= b for a, b in found)
+
+
+def test_splits_part_a_sample_and_keep_copies_together():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 3))
+    cells = spatial.range_splits(x[:500], 16).cells(x)
+    assert np.bincount(cells, minlength=16).min() > 100
+    same = np.zeros((50, 2))
+    assert set(spatial.range_splits(same, 8).cells(same)) == {0}
+    assert spatial.range_splits(x, 1).cells(x).max() == 0
+
+
+def test_dbscan_of_no_rows(spark):
+    none = frame(spark, np.zeros((1, 2))).limit(0)
+    assert clustering.dbscan_clusters(none).count() == 0
+    assert clustering.hierarchical_clusters(none).count() == 0
