@@ -6,7 +6,7 @@ and paths whose fused ratio reaches the ratios' standard deviation are content.
 element that holds most of the content paths' text is the article; all blocks inside it that no
 menu, form, advert and the like encloses are returned, headings and short paragraphs too. Of an
 <article> or <main> around it, and of the page's body if only that holds the content paths, the
-content paths and the headings before them are returned. Content text inside <article> or <main>
+content paths and the headings before them are returned; an <h1> just before it all is its title. Content text inside <article> or <main>
 counts double.
 """
 
@@ -37,14 +37,21 @@ DROPPED = RAW | frozenset("""head nav footer aside form button select option dat
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What may stand in the head; any other tag or text begins the body.
+HEAD_ONLY = frozenset("base basefont bgsound link meta noscript script style template title".split())
 #: Parts of class and id names of what is not the article.
 ASIDE = re.compile(
-    r"^(?:ad|ads|adv|advert\w*|adbox|adslot|banner\w*|sponsor\w*|promo\w*|sidebar\w*|side|aside|"
-    r"comments?|commentlist|disqus|discussion|repl(?:y|ies)|responses?|respond|reviews?|cookies?|"
-    r"consent|gdpr|notices?|notification\w*|alert\w*|nav\w*|menu\w*|breadcrumbs?|pagination|pager|"
-    r"footer\w*|foot|masthead|topbar|toolbar|social\w*|share|sharing|sharer|newsletter\w*|"
-    r"subscribe|signup|login|search\w*|popup\w*|modal\w*|overlay|widget\w*|related\w*|"
-    r"recommend\w*|trending|teasers?|skip|hidden|copyright|legal|disclaimer\w*|form)$")
+    r"^(?:ad|ads|adv|advert\w*|adbox|adslot|banner\w*|sponsor\w*|promo\w*|sidebar\w*|aside|"
+    r"comments?|commentlist|disqus|repl(?:y|ies)|cookies?|"
+    r"consent|gdpr|notices?|notification\w*|nav\w*|menu\w*|breadcrumbs?|pagination|pager|"
+    r"footer\w*|masthead|topbar|toolbar|social\w*|share|sharing|sharer|newsletter\w*|"
+    r"subscribe|signup|login|popup\w*|modal\w*|overlay|widget\w*|related\w*|"
+    r"recommend\w*|trending|teasers?)$")
+#: Whole names of the same, which as parts, or inside <article> and <main>, also name content.
+ASIDE_WHOLE = re.compile(
+    r"^(?:side|foot|skip|hidden|discussion|responses?|respond|reviews?|alert\w*|search\w*|form|"
+    r"copyright|legal|disclaimer\w*)(?:[-_](?:area|bar|block|box|field|form|info|input|line|links?|"
+    r"list|panel|section|warning|widget|wrap|wrapper))?$")
 #: The same for an <article>, by a whole name: readers' comments and links to other articles.
 ARTICLE_ASIDE = re.compile(
     r"^(?:(?:\w+-)?comment(?:[-_](?:body|item|entry|content|text|\d+))?|comments|commentlist|disqus|"
@@ -84,14 +91,36 @@ def is_aside(name: str, rest: str, within: bool) -> tuple[bool, str]:
                 key == "aria-hidden" and value == "true") or (
                 key == "style" and re.search(r"display\s*:\s*none", value)):
             return True, ""
-    parts = (part for one in names for part in [one, *re.split(r"[-_]+", one)])
+    parts = [part for one in names for part in [one, *re.split(r"[-_]+", one)]]
     if name == "article":
         hit = any(map(ARTICLE_ASIDE.match, names))
     else:
-        hit = name not in ("html", "body", "main") and any(map(ASIDE.match, parts))
+        hit = name not in ("html", "body", "main") and (
+            any(map(ASIDE.match, parts)) or not within and any(map(ASIDE_WHOLE.match, names)))
     return hit, "".join(f".{one}" for one in names[:2])
 
 
+def end_of_inline(page: str, at: int, name: str) -> int:
+    """Where an inline element that begins before ``at`` ends: at its own or its block's end."""
+    depth = blocks = 0
+    while True:
+        mark = page.find("<", at)
+        if mark < 0:
+            return len(page)
+        token = TOKEN.match(page, mark)
+        at = token.end() if token else mark + 1
+        other = (token["name"] or token["name2"] or "").lower() if token else ""
+        ends = bool(token) and bool(token["end"] or token["end2"])
+        if other == name:
+            depth += -1 if ends else 1
+            if depth < 0:
+                return at
+        elif other and other not in INLINE | VOID | RAW:
+            blocks += -1 if ends else 1
+            if blocks < 0:
+                return mark
+
+
 def text_blocks(page: str) -> list[tuple[Node, str]]:
     """Blocks of text outside of dropped elements in page order, with their elements."""
     root = Node("", None, False, "", 0)
@@ -112,16 +141,22 @@ def text_blocks(page: str) -> list[tuple[Node, str]]:
             within -= node.name in ("article", "main")
             node = node.parent
 
+    def begin_body(text: str) -> None:
+        if node.name == "head" and text.strip():
+            close(node.parent)
+
     at = 0
     while at < len(page):
         mark = page.find("<", at)
         token = TOKEN.match(page, mark) if mark >= 0 else None
         if token is None:  # text up to the end, or a bracket that opens nothing
             end = len(page) if mark < 0 else mark + 1
+            begin_body(page[at:end])
             if not node.dropped:
                 pieces.append(page[at:end])
             at = end
             continue
+        begin_body(page[at:mark])
         if mark > at and not node.dropped:
             pieces.append(page[at:mark])
         at = token.end()
@@ -139,6 +174,8 @@ def text_blocks(page: str) -> list[tuple[Node, str]]:
                 flush()
                 close(open_.parent)
             continue
+        if node.name == "head" and name not in HEAD_ONLY:
+            close(node.parent)
         if name in RAW and not rest.endswith("/"):
             found = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.IGNORECASE).search(page, at)
             at = found.end() if found else len(page)
@@ -151,9 +188,7 @@ def text_blocks(page: str) -> list[tuple[Node, str]]:
         if name in INLINE and not (rest and is_aside(name, rest, True)[0]):
             continue
         if name in INLINE:  # a hidden or advertising span; what it holds is dropped
-            found = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            if found and "<" not in page[at:found.start()]:
-                at = found.end()
+            at = end_of_inline(page, at, name)
             continue
         flush()
         if name in VOID:
@@ -228,15 +263,17 @@ def main_text(page: str | None, share: float = 0.7) -> str:
         best = best.parent  # a leaf alone: its siblings belong to it
     outer = enclosing(best, ("article",)) or enclosing(best, ("main",)) or best
     whole = best.name not in ("", "html", "body")
-    inside, keep = [], []
+    inside, keep, before = [], [], []
     for node, text in blocks:
         if within_element(node, outer):
             inside.append((node, text))
             keep.append(node.path in chosen or whole and within_element(node, best))
+        elif not inside:
+            before = [*before, text] if node.name == "h1" else []
     for i in range(len(inside) - 2, -1, -1):
         keep[i] |= keep[i + 1] and inside[i][0].name in HEADINGS
     inside = [pair for pair, kept in zip(inside, keep, strict=True) if kept]
-    return "\n".join(text for _, text in inside)
+    return "\n".join([*before, *(text for _, text in inside)])
 
 
 def extract_pages(pages: DataFrame, share: float = 0.7) -> DataFrame:

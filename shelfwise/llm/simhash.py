@@ -1,8 +1,8 @@
 """SimHash near-duplicates: fingerprints, BK-trees over shards, connected components.
 
 Copies share a fingerprint, so only distinct fingerprints are searched. Two fingerprints within
-``radius`` bits agree in at least one of ``radius + 1`` blocks of bits; a shard is what shares a
-block. Each shard gets a BK-tree: a child hangs below its parent under its Hamming distance, and a
+``radius`` bits agree in at least k of ``radius + k`` blocks of bits; a shard is what shares k
+blocks, with k by the number of rows. Each shard gets a BK-tree: a child hangs below its parent under its Hamming distance, and a
 search follows only the edges whose distance is within the radius of the query's own. A shard of
 more than ``shard_rows`` fingerprints is split into trees of about that size, and every query of
 the shard is sent to each, so no tree outgrows a task and no link is lost. A search gives a link
@@ -13,6 +13,7 @@ copies give thousands of links, not millions.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -123,17 +124,32 @@ class BKTree:
         return [self.values[root] for root in roots]
 
 
+def block_masks(rows: int, radius: int, shard_rows: int) -> list[int]:
+    """Masks of bits of which fingerprints within ``radius`` share at least one whole.
+
+    ``radius + k`` blocks of bits hold k untouched ones, so every choice of k blocks is a mask. k
+    grows with the rows: of random fingerprints about ``shard_rows`` at most share a mask's bits,
+    so a fingerprint is sent as often on a large table as on a small one of the same k.
+    """
+    for k in range(1, 64 - radius):
+        blocks = radius + k
+        edges = [64 * i // blocks for i in range(blocks + 1)]
+        parts = [(1 << b) - (1 << a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        masks = [sum(chosen) for chosen in combinations(parts, k)]
+        if rows <= shard_rows << min(mask.bit_count() for mask in masks):
+            break
+    return masks
+
+
 def near_links(prints: DataFrame, radius: int = 4, shard_rows: int = 4096) -> DataFrame:
     """``a, b``: links that join all of the distinct ``fp`` within ``radius`` bits of each other.
 
     Not every close pair is listed, and a link may name another member of a close one's component,
     but the components of the links are those of all close pairs.
     """
-    blocks = radius + 1
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = [F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", a).bitwiseAND(
-        F.lit((1 << (b - a)) - 1)).alias("bits")) for i, (a, b) in enumerate(zip(
-            edges[:-1], edges[1:], strict=True))]
+    keys = [F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(
+        mask - (1 << 64) if mask >> 63 else mask).cast("long")).alias("bits"))
+        for i, mask in enumerate(block_masks(prints.count(), radius, shard_rows))]
     keyed = prints.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.*")
     sizes = keyed.groupBy("block", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "block", "bits", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"))

@@ -343,3 +343,53 @@ def test_pages_table(spark):
     assert sorted((str(r["page_id"]), str(r["url"]), r["text"], r["n_chars"]) for r in got) == [
         ("1", "u", "", 0), ("1", "u", TEXT, len(TEXT)), ("None", "None", "", 0)]
     assert extraction.extract_pages(pages.where("false")).count() == 0
+
+
+SENTENCE = "This is a long sentence of the article, with commas, and more words to read. It goes on."
+
+
+@pytest.mark.parametrize(("page", "wanted"), [
+    # a head that nothing closes ends where the body's first tag or text begins
+    ("<html><head><title>x</title><body><div><p>{s}</p><p>{s}</p></div></body></html>", "{s}\n{s}"),
+    ("<head><title>x</title><meta charset=a><p>{s}<p>{s}", "{s}\n{s}"),
+    ("<head><title>x</title>{s}<p>{s}", "{s}\n{s}"),
+    # inline elements that are left out take their markup along, but no more than their block
+    ("<div><p>One, two. <span class='ad'><b>Buy</b> <i>now</i></span> More.</p><p>{s}</p></div>",
+     "One, two. More.\n{s}"),
+    ("<div><p>One, two. <span hidden><i>x<span>y</span></i></span>End.</p><p>{s}</p></div>",
+     "One, two. End.\n{s}"),
+    ("<div><p>One, two. <span class=ad>broken</p><p>{s}</p><p><span>x</span></p></div>",
+     "One, two.\n{s}\nx"),
+    # names that also name content
+    ("<article><p>{s}</p><section id='copyright'><h2>Law</h2><p>{s}</p></section></article>",
+     "{s}\nLaw\n{s}"),
+    ("<body><div><h1>Film</h1><div class='reviews-body'><p>{s}</p><p>{s}</p></div></div></body>",
+     "Film\n{s}\n{s}"),
+    ("<div class='search-result'><p>{s}</p><p>{s}</p></div><div class='search'>Search, now.</div>",
+     "{s}\n{s}"),
+    ("<main><p>{s}</p><p class='form-note'>Note, it stays.</p></main><div class=reviews>So, so."
+     "</div>", "{s}\nNote, it stays."),
+])
+def test_contract_of_extraction(page, wanted):
+    assert extraction.main_text(page.replace("{s}", SENTENCE)) == wanted.replace("{s}", SENTENCE)
+
+
+def test_layout_of_plain_divs_gives_the_same_articles(spark):
+    """Without element names and classes the ratios alone find nearly every article."""
+    pages = [r["html"] for r in spark.read.parquet(
+        "/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+
+    def plain(page):
+        page = re.sub(r"<(/?)(article|main|nav|header|footer|aside|section)\b[^>]*>",
+                      lambda m: f"<{m[1]}div>", page, flags=re.I)
+        return re.sub(r"<(div|ul|ol|p|form|span|a|li|h\d)\b[^>]*>", lambda m: f"<{m[1]}>", page,
+                      flags=re.I)
+
+    same = [extraction.main_text(p) == extraction.main_text(plain(p)) for p in pages]
+    assert sum(same) >= 0.95 * len(pages)
+
+
+def test_very_long_page():
+    page = f"<body><div>{'<p>' + SENTENCE + '</p>'}</div>" + "<div class=x><p>w, x. </p></div>" * 3
+    page = page.replace("</div><div", "<p>" + SENTENCE + "</p>" * 20_000 + "</div><div", 1)
+    assert extraction.main_text(page).startswith(SENTENCE)

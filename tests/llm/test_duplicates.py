@@ -90,9 +90,17 @@ def roots_of(ids, linked):
     return {i: root(i) for i in ids}
 
 
+@pytest.mark.parametrize("masks", [None, 2, 3])
 @pytest.mark.parametrize("shard_rows", [4096, 8])
-def test_links_join_what_brute_force_joins(spark, shard_rows):
-    """``shard_rows=8``: every shard is split into many trees, with the same components."""
+def test_links_join_what_brute_force_joins(spark, shard_rows, masks, monkeypatch):
+    """``shard_rows=8``: every shard is split into many trees, with the same components.
+
+    ``masks``: so many blocks of bits are shared, as on larger tables.
+    """
+    if masks:
+        real = simhash.block_masks
+        monkeypatch.setattr(simhash, "block_masks", lambda rows, radius, _: real(
+            {2: 10 ** 9, 3: 10 ** 11}[masks], radius, 4096))
     draw = random.Random(9)
     base = [draw.getrandbits(64) for _ in range(12)]
     values = sorted({b ^ flipped(draw, 5)
@@ -102,10 +110,23 @@ def test_links_join_what_brute_force_joins(spark, shard_rows):
     links = [(r["a"], r["b"]) for r in simhash.near_links(prints, 4, shard_rows).collect()]
     close = [(signed[i], signed[j]) for i in range(len(values)) for j in range(i)
              if (values[i] ^ values[j]).bit_count() <= 4]
-    assert len(links) <= 5 * len(values)
+    assert len(links) <= 35 * len(values)
     assert roots_of(signed, links) == roots_of(signed, close)
 
 
+def test_every_close_pair_shares_a_mask_at_any_size():
+    draw = random.Random(2)
+    sizes = [10 ** 3, 10 ** 7, 10 ** 9, 10 ** 11]
+    assert [len(simhash.block_masks(n, 4, 4096)) for n in sizes] == [5, 5, 15, 35]
+    for n in sizes:
+        masks = simhash.block_masks(n, 4, 4096)
+        assert all(n <= 4096 << mask.bit_count() for mask in masks)
+        for _ in range(2000):
+            changed = sum(1 << bit for bit in draw.sample(range(64), 4))
+            assert any(changed & mask == 0 for mask in masks)
+    assert simhash.block_masks(10, 0, 4096) == [(1 << 64) - 1]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (200, 200), (102, 100)]
     got = components.components(spark.createDataFrame(chain, "a long, b long")).collect()
