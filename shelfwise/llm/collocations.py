@@ -166,6 +166,7 @@ class PhraseCounter:
                  held: int = HELD, burst: int = BURST):
         self.size, self.allowed, self.parts, self.held, self.burst = (
             size, allowed, parts, held, burst)
+        self.single: dict[str, Counter] = {}
         self.words: dict[str, Words] = {}
         self.tries: dict[str, HatTrie] = {}
 
@@ -176,13 +177,10 @@ class PhraseCounter:
 
     def count(self, lang: str, tokens: list[bytes], times: int = 1) -> None:
         """Add the phrases of consecutive tokens, each ``times`` its number."""
-        words, size = self.numbers(lang), self.size
-        if size == 1:  # one container, no deeper than its root
-            trie = self.tries[lang]
-            for word, n in Counter(map(words.__getitem__, tokens)).items():
-                if word:
-                    trie.add((word,), n * times)
+        if self.size == 1:  # the words are one container, keyed by themselves
+            self.single.setdefault(lang, Counter()).update(tokens)
             return
+        words, size = self.numbers(lang), self.size
         ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
         many = len(ids) - size + 1
         if many < 1:
@@ -210,27 +208,36 @@ class PhraseCounter:
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees until ``most`` entries are left over all languages."""
+        for lang, counts in self.single.items():
+            counts.pop(BREAK, None)
+            yield from batches_of(lang, sorted(counts.items()))
+        self.single = {}
         share = most // max(1, len(self.tries))
         for lang, trie in self.tries.items():
             names = self.words[lang].names
             for taken in trie.spill(share):
-                run = sorted((b" ".join([names[i] for i in phrase]), n) for phrase, n in taken)
-                for start in range(0, len(run), RUN):
-                    part = run[start:start + RUN]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part)),
-                         pa.array([x[0] for x in part], pa.binary()).cast(pa.string()),
-                         pa.array([x[1] for x in part], pa.int64())], ["lang", "phrase", "n"])
+                yield from batches_of(lang, sorted(
+                    (b" ".join([names[i] for i in phrase]), n) for phrase, n in taken))
 
     def overflow(self) -> Iterator[pa.RecordBatch]:
         """What has to go to keep within bounds, if anything; call between texts."""
         if sum(map(len, self.words.values())) > WORDS:
             yield from self.spill(0)
             self.words, self.tries = {}, {}
-        elif sum(trie.held for trie in self.tries.values()) > self.held:
+        elif sum(map(len, self.single.values())) + sum(
+                trie.held for trie in self.tries.values()) > self.held:
             yield from self.spill(self.held // 2)
 
 
+def batches_of(lang: str, run: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(run), RUN):
+        part = run[start:start + RUN]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(part)),
+             pa.array([x[0] for x in part], pa.binary()).cast(pa.string()),
+             pa.array([x[1] for x in part], pa.int64())], ["lang", "phrase", "n"])
+
+
 def token_blocks(batches: Iterator[pa.RecordBatch], block: int,
                  ) -> Iterator[tuple[str, int, list[bytes], bool]]:
     """Language, times, tokens, and whether these go on in the same text as the ones before."""
