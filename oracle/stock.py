@@ -191,6 +191,15 @@ def counts(levels: list[str], source: str, column: str, label: str) -> str:
 RULE = "SELECT '{a}' AS artifact, '{r}' AS rule, {p} AS passed FROM {t}"
 
 
+#: Every result table of the chain, present and whole wherever the fact has rows.
+RESULT_TABLES = [
+    "baseline_results", "boosted_results", "sku_30_day_forecast", "inventory_optimization",
+    "supplier_risk", "disruption_detection", "disruption_model_comparison", "disruption_pca",
+    "action_priorities", "business_impact", "finance_summary", "budget_vs_actual",
+    "promotion_effectiveness", "abc_analysis", "supplier_stockout_impact", "feature_attribution"]
+TABLE_RULES = ["is present", "has required columns", "is not empty"]
+
+
 def rules(*entries: tuple[str, str, str, str]) -> str:
     return " UNION ALL ".join(RULE.format(a=a, r=r, p=p, t=t) for a, r, p, t in entries)
 
@@ -295,6 +304,18 @@ ORACLES = {
                "historical_lost_sales_value >= 0 AND current_inventory_value >= 0",
                "impact_row")), with_forecast(f"{IMPACT_ROW},\n{ABC}")),
 
+    "validate_schemas": oracle(
+        "artifact rule passed detail",
+        f"""SELECT artifact, rule, (SELECT COUNT(*) FROM fact) > 0 AS passed, '' AS detail
+            FROM (SELECT UNNEST({RESULT_TABLES}) AS artifact),
+                 (SELECT UNNEST({TABLE_RULES}) AS rule)"""),
+    "validate_disruption": oracle(
+        "artifact rule passed detail",
+        """SELECT 'disruption_detection' AS artifact, rule, (SELECT COUNT(*) FROM fact) > 0 AS passed,
+                  '' AS detail
+           FROM (SELECT UNNEST(['score is between 0 and 100', 'status is NORMAL or ANOMALY'])
+                   AS rule)"""),
+
     "kpi_strip_without_disruption": oracle(
         "store_product_pairs:b high_priority:b critical_inventory:b reorder_inventory:b "
         "high_risk_suppliers:b critical_disruptions:b",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from math import ceil, log, log2
 
 import numpy as np
@@ -16,6 +17,7 @@ from shelfwise.operators.trees import TreeArrays
 TREES = 300
 SAMPLE = 256
 SEED = 42
+DRAWN_AT_ONCE = 4096  #: entities whose draws for all trees are held together
 EULER = 0.5772156649015329
 
 
@@ -52,14 +54,57 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
+def draws(entity_hash: np.ndarray, trees: np.ndarray) -> np.ndarray:
+    """A reproducible draw for every tree (row) and entity (SplitMix64 finaliser)."""
+    z = entity_hash.astype(np.uint64)[None, :] + (
+        trees.astype(np.uint64) * np.uint64(2) + np.uint64(1))[:, None] * np.uint64(
+        0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
+
+
+def bottom_k(batches: Iterable[pd.DataFrame], size: int, trees: int) -> Iterator[pd.DataFrame]:
+    """The ``size`` smallest draws of every tree among all rows (entity, seed, vec) of a task.
+
+    Rows are numbered over the batches and only drawn ones are kept, at most trees x size.
+    """
+    best = np.zeros((trees, 0), np.int64)  # draws, and the number of the row that drew them
+    owner = np.zeros((trees, 0), np.int64)
+    rows: dict[int, tuple] = {}
+    seen = 0
+    for batch in batches:
+        for start in range(0, len(batch), DRAWN_AT_ONCE):
+            part = batch.iloc[start:start + DRAWN_AT_ONCE]
+            new = draws(part["seed"].to_numpy(), np.arange(trees))
+            number = np.broadcast_to(seen + np.arange(len(part)), new.shape)
+            both, of = np.hstack([best, new]), np.hstack([owner, number])
+            if both.shape[1] > size:
+                place = np.argpartition(both, size - 1, axis=1)[:, :size]
+                both, of = (np.take_along_axis(x, place, axis=1) for x in (both, of))
+            best, owner = both, of
+            held = np.unique(owner)
+            rows = {n: rows[n] for n in held[held < seen].tolist()} | {
+                n: (part["entity"].iat[n - seen], part["vec"].iat[n - seen])
+                for n in held[held >= seen].tolist()}
+            seen += len(part)
+    tree, place = np.divmod(np.arange(best.size), max(1, best.shape[1]))
+    held = [rows[n] for n in owner.ravel().tolist()]
+    yield pd.DataFrame({"tree": tree.astype(np.int32), "_draw": best.ravel(),
+                        "entity": [x[0] for x in held], "vec": [x[1] for x in held]})
+
+
 def _samples(vectors: DataFrame, size: int, trees: int, seed: int) -> DataFrame:
     """``size`` entities per tree without replacement: those with the smallest hash draws.
 
-    Each task keeps only its own ``size`` smallest draws of a tree before the shuffle.
+    Each task finds its own smallest draws of all trees in one pass, so at most
+    tasks x trees x size rows are shuffled.
     """
-    draw = F.xxhash64(F.lit(seed), "tree", "entity")
-    drawn = vectors.withColumn(
-        "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_draw", draw)
+    kind = vectors.schema["vec"].dataType.simpleString()
+    drawn = vectors.select("entity", "vec", F.xxhash64(F.lit(seed), "entity").alias("seed")
+                           ).mapInPandas(
+        lambda batches: bottom_k(batches, size, trees),
+        f"tree int, _draw long, entity string, vec {kind}")
     order = F.row_number().over(W.partitionBy("tree").orderBy("_draw", "entity"))
     return drawn.withColumn("_n", order).where(F.col("_n") <= size).select("tree", "_n", "vec")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numeric import ratio, rank_of, round_to
-from shelfwise.operators.etl import Star
+from shelfwise.operators.etl import Star, latest_day
 
 PRODUCT_NAMES = ["product_id", "product_name", "category"]
 
@@ -99,15 +99,13 @@ def biz_top3_per_category(star: Star, top: int = 3) -> DataFrame:
 
 def biz_inventory_risk(star: Star) -> DataFrame:
     """Stock against the stored reorder point on the latest day of the whole table."""
-    stock = star["inventory"]
-    latest = stock.agg(F.max("inventory_date")).scalar()
     status = (
         F.when(2 * F.col("closing_stock") <= F.col("reorder_point"), "CRITICAL")
         .when(F.col("closing_stock") <= F.col("reorder_point"), "HIGH")
         .otherwise("NORMAL")
     )
     return (
-        stock.where(F.col("inventory_date") == latest)
+        latest_day(star["inventory"], "inventory_date")
         .join(star["stores"], "store_id")
         .join(star["products"].select(*PRODUCT_NAMES), "product_id")
         .select("store_name", "product_name", "category", "inventory_date", "closing_stock",

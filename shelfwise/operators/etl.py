@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,11 +10,18 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import number_rows
 from shelfwise.functions.storage import materialise
+from shelfwise.functions.versions import Versions
 from shelfwise.operators.quality import coerce_numeric, require_clean
 from shelfwise.sources.schema import NUMERIC, STAR_TABLES
 
 Star = dict[str, DataFrame]
 
+#: The day column of each fact, and name and id column of each dimension.
+FACT_DAYS = {"sales": "sale_date", "inventory": "inventory_date"}
+DIMENSION_KEYS = {"stores": ("store_name", "store_id"), "suppliers": ("supplier_name", "supplier_id"),
+                  "products": ("product_name", "product_id")}
+BUCKET_ROWS = 250_000
+
 SUPPLIER_FACTS = ["lead_time_days", "on_time_rate", "defect_rate"]
 PRODUCT_FACTS = ["category", "supplier", "unit_price"]
 
@@ -133,43 +141,111 @@ def build_star(fact: DataFrame) -> Star:
     }
 
 
-def reload_star(fact: DataFrame, out_dir: str, check: bool = True) -> Star:
+def _laid_out(table: DataFrame, path: str, name: str, day: str, buckets: int) -> None:
+    """Write a fact by month, in buckets of its key: a filter on ``month`` prunes folders, and two
+    facts written alike are joined on (store_id, product_id, day) without a shuffle."""
+    key = ["store_id", "product_id", day]
+    by_month = table.withColumn("month", _month(F.col(day))).repartition(buckets, *key)
+    by_month.write.format("parquet").partitionBy("month").bucketBy(buckets, *key).sortBy(
+        *key).option("path", path).saveAsTable(name)
+
+
+def _month(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
+
+def latest_day(table: DataFrame, day: str) -> DataFrame:
+    """The rows of the table's last day, read from the folder of its last month."""
+    if "month" not in table.columns:
+        return table.where(F.col(day) == table.agg(F.max(day)).scalar())
+    month = table.agg(F.max("month")).first()[0]  # reads no column
+    own = table.where(F.col("month") == month)
+    return own.where(F.col(day) == own.agg(F.max(day)).first()[0])
+
+
+def reload_star(fact: DataFrame, out_dir: str, check: bool = True,
+                bucket_rows: int = BUCKET_ROWS) -> Star:
     """Replace the star tables as one step.
 
     With ``check`` a fact with null cells, repeated rows or text in a numeric column raises before
     anything is written.
     Every load goes to its own folder; readers move to it only after all five tables are written
-    and the row counts agree, by appending one row to the ``loads`` table. A failed load leaves
-    the previous one in place.
+    and the row counts agree, by publishing a new version. A failed load leaves the previous one in
+    place. A load that was overtaken by another writer raises ``StaleVersion``. Facts are laid out
+    by month and in buckets of about ``bucket_rows`` rows.
     """
     spark = fact.sparkSession
+    versions = Versions(spark, out_dir)
+    base, _ = versions.latest()
     if check:
         fact = require_clean(coerce_numeric(fact, [c for c in NUMERIC if c in fact.columns]))
     load = f"load-{uuid.uuid4().hex}"
     star = build_star(fact)
-    for name in STAR_TABLES:
-        star[name].write.parquet(f"{out_dir}/{load}/{name}")
-    written = _read_load(spark, out_dir, load)
     expected = fact.count()
-    for name in ("sales", "inventory"):
+    buckets = max(1, -(-expected // bucket_rows))
+    for name in STAR_TABLES:
+        path = f"{out_dir}/{load}/{name}"
+        if name in FACT_DAYS:
+            _laid_out(star[name], path, _table_name(path), FACT_DAYS[name], buckets)
+        else:
+            star[name].write.parquet(path)
+    content = {"buckets": buckets, "tables": {n: f"{load}/{n}" for n in STAR_TABLES}}
+    written = _read_version(spark, out_dir, content)
+    for name in FACT_DAYS:
         found = written[name].count()
         if found != expected:
             raise ValueError(f"{name} has {found} rows, the fact has {expected}")
-    spark.range(1).select(F.lit(load).alias("load"),
-                          F.current_timestamp().alias("loaded_at")
-                          ).write.mode("append").parquet(f"{out_dir}/loads")
+    versions.publish(base, content)
     return written
 
 
-def _read_load(spark: SparkSession, out_dir: str, load: str) -> Star:
-    return {name: spark.read.parquet(f"{out_dir}/{load}/{name}") for name in STAR_TABLES}
+def extend_dimension(spark: SparkSession, out_dir: str, name: str, incoming: DataFrame) -> Star:
+    """Add rows whose name a dimension doesn't have yet, with ids that follow the highest.
+
+    The new table is published as a version of its own against the one that was read, so two
+    writers never give one id twice: the second raises ``StaleVersion`` and may read again.
+    """
+    versions = Versions(spark, out_dir)
+    base, content = versions.latest()
+    key, id_column = DIMENSION_KEYS[name]
+    path = f"load-{uuid.uuid4().hex}/{name}"
+    table = insert_if_absent(_read_version(spark, out_dir, content)[name], incoming, key, id_column)
+    table.write.parquet(f"{out_dir}/{path}")
+    content = {**content, "tables": {**content["tables"], name: path}}
+    versions.publish(base, content)
+    return _read_version(spark, out_dir, content)
+
+
+def _table_name(path: str) -> str:
+    """A catalog name for a table in a folder, as unique as the folder."""
+    return "star_" + re.sub(r"\W", "_", "_".join(path.rstrip("/").split("/")[-2:]))
+
+
+def _read_version(spark: SparkSession, out_dir: str, content: dict) -> Star:
+    star = {}
+    for name in STAR_TABLES:
+        path = f"{out_dir}/{content['tables'][name]}"
+        if name not in FACT_DAYS:
+            star[name] = spark.read.parquet(path)
+            continue
+        known = _table_name(path)
+        if not spark.catalog.tableExists(known):
+            key = f"store_id, product_id, {FACT_DAYS[name]}"
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                for f in spark.read.parquet(path).schema)
+            spark.sql(f"CREATE TABLE {known} ({columns}) USING parquet PARTITIONED BY (month) "
+                      f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {content['buckets']} BUCKETS "
+                      f"LOCATION '{path}'")
+        star[name] = spark.table(known)
+    return star
 
 
 def open_star(spark: SparkSession, out_dir: str) -> Star:
-    """The star tables of the latest complete load."""
-    latest = spark.read.parquet(f"{out_dir}/loads").orderBy(
-        F.desc("loaded_at"), F.desc("load")).first()
-    return _read_load(spark, out_dir, latest["load"])
+    """The star tables of the latest published version."""
+    number, content = Versions(spark, out_dir).latest()
+    if not number:
+        raise FileNotFoundError(f"no star was loaded into {out_dir}")
+    return _read_version(spark, out_dir, content)
 
 
 def register_star(star: Star) -> None:

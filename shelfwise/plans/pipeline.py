@@ -15,12 +15,13 @@ def run_pipeline(fact: DataFrame, out_dir: str,
                  params: forecast.BoostParams = forecast.BoostParams(),
                  n_init: int = 20, n_trees: int = 300, order: str = "best",
                  check: bool = True, model=None, comparison: DataFrame | None = None,
-                 labelled: DataFrame | None = None) -> dict[str, DataFrame]:
+                 labelled: DataFrame | None = None,
+                 attributed: DataFrame | None = None) -> dict[str, DataFrame]:
     """Compute, write and read back every result table, then check the rules.
 
     Each table is written once and later steps scan the written form. With ``check`` a broken
     rule raises; the expected pair count is that of the fact. A model already fitted on the
-    training rows, and clustering labels and their comparison, may be handed in.
+    training rows, its attribution, and clustering labels and their comparison, may be handed in.
     """
     spark = fact.sparkSession
     tables: dict[str, DataFrame] = {}
@@ -53,7 +54,8 @@ def run_pipeline(fact: DataFrame, out_dir: str,
     keep("promotion_effectiveness", finance.promotion_effectiveness(fact))
     keep("abc_analysis", finance.abc_analysis(fact))
     keep("supplier_stockout_impact", finance.supplier_stockout_impact(fact))
-    keep("feature_attribution", attribution.feature_attribution(trees, train))
+    keep("feature_attribution", attributed if attributed is not None
+         else attribution.feature_attribution(trees, train))
     pairs = features.pair_coverage(fact).first()["sku_store_pairs"]
     report = keep("validation_report", validation.validation_report(spark, tables, pairs))
     if check:

@@ -235,6 +235,11 @@ def _(w: Workspace) -> DataFrame:
     return forecast.naive_baselines(features.daily_demand(w.fact))
 
 
+@query("recursive_forecast_naive")
+def _(w: Workspace) -> DataFrame:
+    return w.naive_forecast
+
+
 def _trees_used(df: DataFrame, trees: int) -> DataFrame:
     return df.withColumn("trees", F.lit(trees))
 
@@ -255,11 +260,6 @@ def _(w: Workspace) -> DataFrame:
     return forecast.recursive_forecast(w.trees, w.drivers)
 
 
-@query("recursive_forecast_naive")
-def _(w: Workspace) -> DataFrame:
-    return forecast.recursive_forecast(forecast.SeasonalNaive(), w.drivers)
-
-
 @query("walk_forward_folds")
 def _(w: Workspace) -> DataFrame:
     daily = features.network_daily_demand(w.fact)
@@ -274,7 +274,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("feature_attribution")
 def _(w: Workspace) -> DataFrame:
-    return _trees_used(attribution.feature_attribution(w.trees, w.split[0]), QUERY_PARAMS.trees)
+    return _trees_used(w.attribution, QUERY_PARAMS.trees)
 
 
 # --- stock policy ----------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.functions.jobs import ship_package
 from shelfwise.functions.storage import materialise, new_folder, write_and_read
 from shelfwise.operators import (
-    actions, clustering, disruption, etl, features, forecast, inventory, supplier)
+    actions, attribution, clustering, disruption, etl, features, forecast, inventory, supplier)
 from shelfwise.plans.pipeline import run_pipeline
 from shelfwise.operators.trees import TreeArrays, export_trees
 from shelfwise.sources.testdata import daily_fact_from_orders
@@ -59,6 +59,10 @@ class Workspace:
     def trees(self) -> TreeArrays:
         return export_trees(self.spark, self.model)
 
+    @cached_property
+    def attribution(self) -> DataFrame:
+        return materialise(attribution.feature_attribution(self.trees, self.split[0]))
+
     @cached_property
     def network(self) -> DataFrame:
         """Network features, one row per day with a full history."""
@@ -109,7 +113,8 @@ class Workspace:
         """Every result table of the whole chain, with the one fitted model."""
         return run_pipeline(self.fact, new_folder(self.spark, "results"), QUERY_PARAMS,
                             QUERY_INITS, check=False, model=self.model,
-                            comparison=self.comparison, labelled=self.labelled)
+                            comparison=self.comparison, labelled=self.labelled,
+                            attributed=self.attribution)
 
 
 _open: dict[tuple[str, str], Workspace] = {}

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster_scores, clustering, disruption, kmeans, pairs, spatial
+from shelfwise.operators import (
+    anomaly, cluster_scores, clustering, disruption, kmeans, pairs, spatial)
 from shelfwise.operators.anomaly import expected_depth, isolation_forest
 
 
@@ -314,3 +315,22 @@ def test_dbscan_of_no_rows(spark):
     none = frame(spark, np.zeros((1, 2))).limit(0)
     assert clustering.dbscan_clusters(none).count() == 0
     assert clustering.hierarchical_clusters(none).count() == 0
+
+
+def test_samples_are_the_smallest_draws_of_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "DRAWN_AT_ONCE", 7)
+    x = np.random.default_rng(4).normal(size=(90, 2))
+    points = frame(spark, x).repartition(5)
+    got = {}
+    for row in anomaly._samples(points, 12, 9, 3).collect():
+        got.setdefault(row.tree, []).append((row._n, tuple(row.vec)))
+    seeds = {tuple(r.vec): r.seed for r in points.select(
+        "vec", F.xxhash64(F.lit(3), "entity").alias("seed")).collect()}
+    vecs = list(seeds)
+    every = anomaly.draws(np.array([seeds[v] for v in vecs]), np.arange(9))
+    assert len(got) == 9
+    for tree, sample in got.items():
+        want = [vecs[i] for i in every[tree].argsort()[:12]]
+        assert [v for _, v in sorted(sample)] == want
+    few = anomaly._samples(points.limit(4), 12, 2, 3).groupBy("tree").count().collect()
+    assert [r["count"] for r in few] == [4, 4]

@@ -1,9 +1,12 @@
 """Sources, gates and the star-schema load."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import etl, quality
+from shelfwise.functions.versions import StaleVersion, Versions
+from shelfwise.operators import business, etl, finance_star, quality
 from shelfwise.sources import retail
 from shelfwise.sources.schema import FACT, NUMERIC
 from shelfwise.sources.testdata import daily_fact_from_orders
@@ -140,3 +143,73 @@ def test_dirty_fact_leaves_the_previous_load(spark, fact, tmp_path):
         with pytest.raises(Exception, match=problem):
             etl.reload_star(dirty, out)
         assert etl.open_star(spark, out)["sales"].count() == fact.count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_day_reads_one_month_folder(spark, fact, tmp_path):
+    star = etl.reload_star(fact, f"{tmp_path}/star", check=False)
+    got = business.biz_inventory_risk(star)
+    plan = plan_of(got)
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("month" in f for f in filters), plan
+    read = [f for f in star["inventory"].where("month = 200111").inputFiles()]
+    assert 0 < len(read) < len(star["inventory"].inputFiles()) / 10
+    day = fact.agg(F.max("date")).first()[0]
+    assert got.count() == fact.where(F.col("date") == day).count()
+    assert {r.inventory_date for r in got.collect()} == {day}
+
+
+def test_facts_are_joined_where_they_lie(spark, fact, tmp_path):
+    star = etl.reload_star(fact, f"{tmp_path}/star", check=False, bucket_rows=1000)
+    again = etl.open_star(spark.newSession(), f"{tmp_path}/star")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.enabled")}
+    try:
+        for key, value in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(key, value)
+        for own in (star, again):
+            joined = finance_star._sales_with_stock(own, ["units_sold"], ["closing_stock"])
+            plan = plan_of(joined)
+            assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+            assert joined.count() == fact.count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_of_two_racing_loads_one_raises(spark, fact, tmp_path, monkeypatch):
+    out = f"{tmp_path}/star"
+    etl.reload_star(fact, out, check=False)
+    smaller, build = fact.where(F.col("store") == "ASIA"), etl.build_star
+
+    def overtaken(own):
+        monkeypatch.setattr(etl, "build_star", build)
+        etl.reload_star(smaller, out, check=False)  # another writer is faster
+        return build(own)
+
+    monkeypatch.setattr(etl, "build_star", overtaken)
+    with pytest.raises(StaleVersion):
+        etl.reload_star(fact, out, check=False)
+    assert etl.open_star(spark, out)["sales"].count() == smaller.count()
+
+
+def test_no_id_is_given_twice(spark, fact, tmp_path):
+    out = f"{tmp_path}/star"
+    etl.reload_star(fact, out, check=False)
+    versions = Versions(spark, out)
+    base, content = versions.latest()
+    new = spark.createDataFrame([("ASIA",), ("X",), ("Y",)], "store_name string")
+    star = etl.extend_dimension(spark, out, "stores", new)
+    ids = {r.store_name: r.store_id for r in star["stores"].collect()}
+    assert len(ids) == 7 and sorted(ids.values()) == list(range(1, 8))
+    with pytest.raises(StaleVersion):
+        versions.publish(base, content)
+    entry = versions._entry(versions.latest()[0] + 1)
+    versions.fs.create(entry).close()  # a writer that has taken the number but not yet written
+    with pytest.raises(StaleVersion):
+        etl.extend_dimension(spark, out, "stores", spark.createDataFrame(
+            [("Z",)], "store_name string"))
+    assert etl.open_star(spark, out)["stores"].count() == 7
