@@ -214,10 +214,13 @@ class PhraseCounter:
         self.single = {}
         share = most // max(1, len(self.tries))
         for lang, trie in self.tries.items():
-            names = self.words[lang].names
+            names, run = self.words[lang].names, []
             for taken in trie.spill(share):
-                yield from batches_of(lang, sorted(
-                    (b" ".join([names[i] for i in phrase]), n) for phrase, n in taken))
+                run += [(b" ".join([names[i] for i in phrase]), n) for phrase, n in taken]
+                if len(run) >= RUN:  # many subtrees are small
+                    yield from batches_of(lang, sorted(run))
+                    run = []
+            yield from batches_of(lang, sorted(run))
 
     def overflow(self) -> Iterator[pa.RecordBatch]:
         """What has to go to keep within bounds, if anything; call between texts."""
