@@ -29,6 +29,7 @@ from shelfwise.llm.batches import sliced
 
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|/\\-_+=~`«»“”‘’¿¡…"
 LONGEST = 40
+GRAM = 4
 BEGINNINGS = (4, 5, 6)
 BLOCK = 64
 KEPT = 300_000
@@ -37,10 +38,16 @@ NEAREST = 0.05
 
 
 def word_terms(token: str) -> list[str]:
-    """A lower-case token's terms: the word without marks around it, and its beginnings."""
+    """A lower-case token's terms: the word without marks around it, and its beginnings.
+
+    A longer token than ``LONGEST``, as in writing without spaces, gives its runs of ``GRAM``
+    characters.
+    """
     word = token.strip(EDGES)
-    if not word or len(word) > LONGEST:
+    if not word:
         return []
+    if len(word) > LONGEST:
+        return [f"~{word[i:i + GRAM]}" for i in range(len(word) - GRAM + 1)]
     return [word] + [f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n]
 
 
@@ -71,7 +78,8 @@ def choose_examples(docs: DataFrame, labels: DataFrame, rule: Examples,
                     ) -> tuple[DataFrame, dict[int, int]]:
     """``doc_id, text, toxic`` of the examples, and the labelled rows of each class.
 
-    Of several labels for a ``doc_id`` the highest counts, of several texts all are examples.
+    Of several labels for a ``doc_id`` the highest counts, of several texts the one of the smallest
+    hash, so there are at most ``2 * rule.each`` rows.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(
         "doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -82,7 +90,11 @@ def choose_examples(docs: DataFrame, labels: DataFrame, rule: Examples,
         rule.each) for c in (0, 1)]  # each task sends at most so many of its own
     some = parts[0].union(parts[1])  # bounded: 2 * each rows
     text = F.col("text").cast("string").alias("text")
-    return docs.select("doc_id", text).join(F.broadcast(some), "doc_id"), shares
+    rows = docs.select("doc_id", text).join(F.broadcast(some), "doc_id")
+    first = rows.groupBy("doc_id", "toxic").agg(F.min(F.xxhash64("text")).alias("key"))
+    chosen = rows.join(F.broadcast(first), ["doc_id", "toxic"]).where(
+        F.xxhash64("text") == F.col("key"))
+    return chosen.dropDuplicates(["doc_id", "toxic"]).select("doc_id", "text", "toxic"), shares
 
 
 def choose_terms(examples: DataFrame, rule: Examples) -> list[str]:
@@ -282,9 +294,9 @@ def fit(vectors: DataFrame, examples: DataFrame, terms: list[str], shares: dict[
     for row in frequency:
         idf[row["term"]] = math.log1p(total / row["n"])
     index = BlockMaxIndex(idf)
-    coded = sparse_counts(examples, terms).collect()
-    by_id = {row["doc_id"]: row["toxic"] for row in examples.select("doc_id", "toxic").collect()}
-    rows = sorted((by_id[r["doc_id"]], str(r["doc_id"]), r["doc_id"], r["terms"], r["counts"])
+    coded = sparse_counts(examples, terms).join(
+        F.broadcast(examples.select("doc_id", "toxic")), "doc_id").collect()  # 2 * each rows
+    rows = sorted((r["toxic"], str(r["doc_id"]), r["doc_id"], r["terms"], r["counts"])
                   for r in coded)
     index.fill([(doc_id, toxic, own, counts) for toxic, _, doc_id, own, counts in rows])
     voter = Voter(index, shares, Counter(r[0] for r in rows), k, prior_weight)

@@ -67,6 +67,50 @@ def test_toxicity_of_edge_rows(spark):
     assert by[None]["held_out"] is False and by[4]["evidence"] == [] and by[4]["predicted"] == 0
 
 
+def test_long_tokens_and_repeated_examples(spark):
+    insult = "坏" * 3 + "蛋人"
+    rows = [(i, "好" * 30 + (insult if i % 3 == 0 else "花草木") + "天地" * (20 + i % 7))
+            for i in range(240)]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)],
+                                   "doc_id long, toxic int")
+    examples, shares = toxicity.choose_examples(docs, labels, toxicity.Examples())
+    assert examples.count() == sum(shares.values())
+    got = toxicity.score_documents(docs, labels).collect()
+    assert len(got) == 720
+    held = [r for r in got if r["held_out"]]
+    assert held and all(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held)
+    assert all(r["evidence"] for r in held if r["predicted"])
+
+
+def test_cosine_over_whole_texts_as_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet")
+                    for x in ("documents", "labels"))
+    examples, shares = toxicity.choose_examples(docs, labels, toxicity.Examples())
+    terms = toxicity.choose_terms(examples, toxicity.Examples())
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    counted = {i: {t: n for t, n in toxicity.term_counts(text).items() if t in set(terms)}
+               for i, text in texts.items()}
+    df = {t: sum(t in c for c in counted.values()) for t in terms}
+
+    def vector(i):
+        own = {t: (1 + np.log(n)) * np.log1p(len(texts) / df[t]) for t, n in counted[i].items()}
+        norm = np.sqrt(sum(w * w for w in own.values()))
+        return {t: w / norm for t, w in own.items()}
+
+    known = {r["doc_id"]: vector(r["doc_id"]) for r in examples.select("doc_id").collect()}
+    scored = [r for r in toxicity.score_documents(docs, labels).collect() if r["held_out"]]
+    checked = 0
+    for row in scored:
+        own = vector(row["doc_id"])
+        best = sorted((sum(w * other.get(t, 0) for t, w in own.items())
+                       for other in known.values()), reverse=True)[:3]
+        shown = [x["similarity"] for x in row["evidence"]]
+        assert np.allclose(shown, [x for x in best if x > 0], atol=1e-9)
+        checked += bool(shown)
+    assert checked > 5
+
+
 def test_block_max_index_is_exact():
     draw = np.random.default_rng(6)
     idf = draw.random(50) + 0.1
