@@ -39,68 +39,81 @@ MAX_BITS = 27  #: the filter has at most two to this power bits (16 MB)
 
 
 class Container(dict):
-    """Hash container: rest of a phrase (word numbers) to count."""
+    """Hash container: rest of a phrase (a word number, or a tuple of several) to count."""
 
 
 class Node(dict):
     """Trie node: word number to the node or container below it."""
 
 
+Rest = int | tuple[int, ...]
+
+
 class HatTrie:
-    """Counts of word-number tuples of one length."""
+    """Counts of phrases of one length, in word numbers; the root is a node of first words."""
 
     def __init__(self, burst: int = BURST):
-        self.burst, self.held = burst, 0
-        self.root: Container | Node = Container()
-
-    def add(self, phrase: tuple[int, ...], n: int) -> None:
-        above, word, below, rest = None, 0, self.root, phrase
-        while type(below) is Node:
-            above, word, rest = below, rest[0], rest[1:]
-            below = above.get(word)
-            if below is None:
-                below = above[word] = Container()
-        seen = below.get(rest)
-        if seen is not None:
-            below[rest] = seen + n
-            return
-        below[rest] = n
-        self.held += 1
-        if len(below) > self.burst and len(rest) > 1:
-            node = Node()
-            for key, count in below.items():
-                node.setdefault(key[0], Container())[key[1:]] = count
-            if above is None:
-                self.root = node
-            else:
-                above[word] = node
-
-    def spill(self, most: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
-        """Take out whole subtrees, the largest first, until at most ``most`` entries are left."""
-        if type(self.root) is Container:
-            if self.held > most:
-                taken, self.root, self.held = list(self.root.items()), Container(), 0
-                yield taken
+        self.burst, self.held, self.root = burst, 0, Node()
+
+    def add(self, first: int, rests: list[Rest], counts: list[int]) -> None:
+        """Add phrases with one first word and different rests."""
+        below = self.root.get(first)
+        if below is None:
+            below = self.root[first] = Container()
+        self.held += self._add(self.root, first, below, rests, counts)
+
+    def _add(self, above: Node, word: int, below: Container | Node, rests: list[Rest],
+             counts: list[int]) -> int:
+        if type(below) is Node:
+            deeper: dict[int, list[tuple[Rest, int]]] = {}
+            for rest, n in zip(rests, counts, strict=True):
+                deeper.setdefault(rest[0], []).append((shorter(rest), n))
+            new = 0
+            for next_word, own in deeper.items():
+                under = below.get(next_word)
+                if under is None:
+                    under = below[next_word] = Container()
+                new += self._add(below, next_word, under, *map(list, zip(*own, strict=True)))
+            return new
+        before, get = len(below), below.get
+        for rest, n in zip(rests, counts, strict=True):
+            below[rest] = get(rest, 0) + n
+        if len(below) > self.burst and type(rests[0]) is tuple:
+            node = above[word] = Node()
+            for rest, n in below.items():
+                node.setdefault(rest[0], Container())[shorter(rest)] = n
+        return len(below) - before
+
+    def spill(self, most: int) -> Iterator[tuple[int, list[tuple[Rest, int]]]]:
+        """Take out whole subtrees, the largest first, until at most ``most`` entries are left.
+
+        First words with what follows them.
+        """
+        if self.held <= most:
             return
         sizes = sorted(((entries(below), word) for word, below in self.root.items()), reverse=True)
         for size, word in sizes:
             if self.held <= most:
                 return
             self.held -= size
-            yield list(flattened(self.root.pop(word), (word,)))
+            below = self.root.pop(word)
+            yield word, list(below.items() if type(below) is Container else flattened(below, ()))
+
+
+def shorter(rest: tuple[int, ...]) -> Rest:
+    return rest[1] if len(rest) == 2 else rest[1:]
 
 
 def entries(below: Container | Node) -> int:
     return len(below) if type(below) is Container else sum(map(entries, below.values()))
 
 
-def flattened(below: Container | Node, lead: tuple[int, ...],
-              ) -> Iterator[tuple[tuple[int, ...], int]]:
+def flattened(below: Container | Node, lead: tuple[int, ...]) -> Iterator[tuple[Rest, int]]:
     for word, under in below.items():
-        if type(below) is Container:
-            yield lead + word, under
-        else:
+        if type(below) is Node:
             yield from flattened(under, (*lead, word))
+        else:
+            yield (*lead, *(word if type(word) is tuple else (word,))), under
 
 
 class BitFilter:
@@ -125,8 +138,12 @@ def places(hashes: np.ndarray, power: int) -> tuple[np.ndarray, np.ndarray]:
     return slots, np.uint64(1) << (hashes & np.uint64(63))
 
 
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
+
+
 def word_hash(word: bytes, lang: str) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang.encode()))
+    return xxhash.xxh64_intdigest(word, lang_seed(lang))
 
 
 def joined(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -143,12 +160,12 @@ class Words(dict):
 
     def __init__(self, lang: str, allowed: BitFilter | None):
         super().__init__({BREAK: 0})
-        self.lang, self.allowed = lang, allowed
+        self.seed, self.allowed = lang_seed(lang), allowed
         self.names: list[bytes] = [b""]
         self.hashes = np.zeros(1024, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        own, number = word_hash(word, self.lang), 0
+        own, number = xxhash.xxh64_intdigest(word, self.seed), 0
         if self.allowed is None or self.allowed.holds(own):
             number = len(self.names)
             self.names.append(word)
@@ -201,10 +218,15 @@ class PhraseCounter:
                 width = len(known)
             key, width = key * base + ids[at + i], width * base
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        columns = [ids[at[first] + i].tolist() for i in range(size)]
-        add = self.tries[lang].add
-        for phrase, n in zip(zip(*columns, strict=True), (counts * times).tolist(), strict=True):
-            add(phrase, n)
+        columns = [ids[at[first] + i] for i in range(size)]
+        order = np.argsort(columns[0], kind="stable")
+        columns, counts = [c[order] for c in columns], (counts[order] * times).tolist()
+        rests = columns[1].tolist() if size == 2 else list(zip(
+            *(c.tolist() for c in columns[1:]), strict=True))
+        starts = np.flatnonzero(np.diff(columns[0], prepend=-1)).tolist()
+        add, heads = self.tries[lang].add, columns[0].tolist()
+        for start, end in zip(starts, [*starts[1:], len(heads)], strict=True):
+            add(heads[start], rests[start:end], counts[start:end])
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees until ``most`` entries are left over all languages."""
@@ -215,12 +237,17 @@ class PhraseCounter:
         share = most // max(1, len(self.tries))
         for lang, trie in self.tries.items():
             names, run = self.words[lang].names, []
-            for taken in trie.spill(share):
-                run += [(b" ".join([names[i] for i in phrase]), n) for phrase, n in taken]
+            for first, taken in sorted(trie.spill(share), key=lambda x: names[x[0]]):
+                lead = names[first] + b" "
+                if type(taken[0][0]) is int:
+                    run += sorted([(lead + names[rest], n) for rest, n in taken])
+                else:
+                    run += sorted([(lead + b" ".join([names[i] for i in rest]), n)
+                                   for rest, n in taken])
                 if len(run) >= RUN:  # many subtrees are small
-                    yield from batches_of(lang, sorted(run))
+                    yield from batches_of(lang, run)
                     run = []
-            yield from batches_of(lang, sorted(run))
+            yield from batches_of(lang, run)
 
     def overflow(self) -> Iterator[pa.RecordBatch]:
         """What has to go to keep within bounds, if anything; call between texts."""
@@ -234,11 +261,13 @@ class PhraseCounter:
 
 def batches_of(lang: str, run: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(run), RUN):
-        part = run[start:start + RUN]
+        phrases, counts = zip(*run[start:start + RUN], strict=True)
+        ends = np.cumsum([0, *map(len, phrases)], dtype=np.int64)
+        text = pa.Array.from_buffers(pa.large_string(), len(phrases), [
+            None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(phrases))])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(part)),
-             pa.array([x[0] for x in part], pa.binary()).cast(pa.string()),
-             pa.array([x[1] for x in part], pa.int64())], ["lang", "phrase", "n"])
+            [pa.array([lang] * len(phrases)), text.cast(pa.string()),
+             pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
 
 
 def token_blocks(batches: Iterator[pa.RecordBatch], block: int,

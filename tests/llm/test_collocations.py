@@ -92,26 +92,32 @@ def test_words_are_forgotten(spark, monkeypatch):
     assert total == expected
 
 
-def test_trie_bursts_and_spills_whole_subtrees():
+@pytest.mark.parametrize("length", [2, 3, 5])
+def test_trie_bursts_and_spills_whole_subtrees(length):
     trie, expected = C.HatTrie(burst=4), Counter()
     draw = random.Random(1)
-    for _ in range(3000):
-        phrase = tuple(draw.randint(1, 6) for _ in range(4))
-        trie.add(phrase, 2)
-        expected[phrase] += 2
-    assert type(trie.root) is C.Node
+
+    def whole(first, rest):
+        return (first, rest) if type(rest) is int else (first, *rest)
+
+    for _ in range(600):
+        first = draw.randint(1, 6)
+        rests = {tuple(draw.randint(1, 6) for _ in range(length - 1)) for _ in range(5)}
+        own = [r[0] if length == 2 else r for r in rests]
+        trie.add(first, own, [2] * len(own))
+        expected.update({(first, *r): 2 for r in rests})
+    assert any(type(x) is C.Node for x in trie.root.values()) == (length > 2)
     assert trie.held == len(expected) == C.entries(trie.root)
     got = Counter()
-    for run in trie.spill(trie.held // 2):
-        assert len({phrase[0] for phrase, _ in run}) == 1
-        assert not set(dict(run)) & set(got)
-        got.update(dict(run))
+    for first, run in trie.spill(trie.held // 2):
+        own = {whole(first, rest): n for rest, n in run}
+        assert len(own) == len(run) and not set(own) & set(got)
+        assert set(own) == {p for p in expected if p[0] == first}
+        got.update(own)
     assert 0 < trie.held <= len(expected) // 2
-    for run in trie.spill(0):
-        got.update(dict(run))
+    for first, run in trie.spill(0):
+        got.update({whole(first, rest): n for rest, n in run})
     assert got == expected and trie.held == 0
-    trie.add((1, 2, 3, 4), 1)
-    assert [run for run in trie.spill(0)] == [[((1, 2, 3, 4), 1)]]
 
 
 def test_filter_misses_none():
