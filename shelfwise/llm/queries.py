@@ -76,6 +76,17 @@ def op10_host_level_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("shrunk_rate")
 
 
+def host_rules_with_failing_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of op10 with short texts, each ``TIMES`` times, under hosts of their own that fail."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    host = F.concat(F.lit("short"), (F.col("doc_id") % 3).cast("string"))
+    copies = F.explode(F.sequence(F.lit(1), F.lit(TIMES)))
+    short = docs.where(F.length("text") < SHORT).select("*", copies.alias("i")).select(
+        F.col("doc_id") * 100 + F.col("i"), "text", host)
+    return host_rules.host_rules(docs.where(F.length("text") >= SHORT).union(short)).drop(
+        "shrunk_rate")
+
+
 def op11_pairwise_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -104,8 +115,11 @@ QUERIES = {
     "op11_pairwise_gam_quality": op11_pairwise_gam_quality,
     "op12_hat_trie_collocations": op12_hat_trie_collocations,
     "op13_best_position_search": op13_best_position_search,
+    "host_rules_with_failing_hosts": host_rules_with_failing_hosts,
 }
 
+#: Code points; most texts below have fewer than 20 words.
+SHORT, TIMES = 160, 40
 SPACES = r"[\x20\x09-\x0D]"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -136,10 +150,10 @@ ORACLES: dict[str, str] = {
                              lambda x: LENGTH(REGEXP_REPLACE(x, '{SPACES}', '', 'g')) > 0) AS lines
           FROM plain),
         places AS (
-          SELECT doc_id, words, UNNEST(RANGE(1, LEN(words) - 6)) AS i FROM split),
+          SELECT doc_id, UNNEST(LIST_TRANSFORM(RANGE(1, LEN(words) - 6), lambda i:
+            {{'i': i, 'w': ARRAY_TO_STRING(words[i:i + 7], ' ')}})) AS p FROM split),
         windows AS (
-          SELECT doc_id, i, COUNT(*) OVER (
-                   PARTITION BY doc_id, ARRAY_TO_STRING(words[i:i + 7], ' ')) AS n FROM places),
+          SELECT doc_id, p.i AS i, COUNT(*) OVER (PARTITION BY doc_id, p.w) AS n FROM places),
         covered AS (
           SELECT doc_id, COUNT(DISTINCT k) AS n_repeat_words
           FROM (SELECT doc_id, UNNEST(RANGE(i, i + 8)) AS k FROM windows WHERE n > 1)
@@ -242,3 +256,8 @@ ORACLES: dict[str, str] = {
             AS rank, doc_id, score FROM scored WHERE score > 0)
         SELECT * FROM ranked WHERE rank <= 10""",
 }
+ORACLES["host_rules_with_failing_hosts"] = ORACLES["op10_host_level_rules"].replace(
+    "FROM documents)", f"""FROM (
+            SELECT doc_id, text, source FROM documents WHERE LENGTH(text) >= {SHORT} UNION ALL
+            SELECT doc_id * 100 + i, text, 'short' || (doc_id % 3)
+            FROM documents, RANGE(1, {TIMES + 1}) AS copies(i) WHERE LENGTH(text) < {SHORT}))""", 1)
