@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -226,3 +227,19 @@ def test_passages_of_edge_rows(spark):
     pairs = {(r["doc_id"], r["other_id"]) for r in got}
     assert (2, 1) in pairs and (15, 8) in pairs
     assert passages.near_duplicate_passages(edge_tables.empty(spark)).count() == 0
+
+
+def test_windows_of_deep_trees_are_those_of_shallow_ones():
+    rng = np.random.default_rng(5)
+    for values in (rng.integers(0, 2 ** 60, 300), rng.integers(0, 4, 300), np.arange(200),
+                   np.arange(200)[::-1], np.zeros(150), np.r_[np.zeros(40), rng.integers(0, 9, 80)]):
+        hashes = values.astype(np.uint64)
+        for least in (1, 2, 30):
+            assert sorted(passages.stacked_windows(hashes, least)) == sorted(
+                passages.compact_windows(hashes, least))
+
+
+def test_a_very_long_repetitive_text_is_one_pass():
+    begun = time.process_time()
+    found = passages.compact_windows(np.zeros(400_000, np.uint64), 46)
+    assert len(found) == 400_000 - 45 and time.process_time() - begun < 20
