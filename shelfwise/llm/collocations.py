@@ -6,8 +6,8 @@ a bit filter of bounded size: it lets every frequent phrase pass and few others,
 counts decide. Before phrases of three words the texts are cut down once to the stretches all of
 whose pairs of words pass; longer phrases are counted in these. Each task counts in HAT-tries: a shallow trie over word numbers with hash containers
 below, which burst into nodes when they grow. Beyond a number of entries the largest subtrees are
-spilled whole as sorted runs. Runs of all tasks are dealt by ranges of (language, phrase), so that
-a prefix partition is split where a prefix is frequent, and merged by adding equal phrases.
+spilled whole as sorted runs. Runs of all tasks are dealt into partitions of prefixes (language and
+first two words) and merged there by adding equal phrases.
 """
 
 from __future__ import annotations
@@ -356,9 +356,10 @@ def cut_down(docs: DataFrame, allowed: BitFilter, pairs: BitFilter, longest: int
 
 
 def merged(runs: DataFrame) -> DataFrame:
-    """Equal phrases of all runs added up, in range partitions of (lang, phrase)."""
-    return runs.repartitionByRange("lang", "phrase").sortWithinPartitions(
-        "lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    """Equal phrases of all runs added up, in partitions of their first two words."""
+    prefix = F.substring_index("phrase", " ", 2).alias("prefix")
+    return runs.select("lang", prefix, "phrase", "n").repartition("lang", "prefix").groupBy(
+        "lang", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
 
 
 def bit_filter(frequent: DataFrame, rows: int, max_bits: int = MAX_BITS) -> BitFilter:
@@ -391,12 +392,14 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int, held: int =
     allowed = parts = totals = left = None
     levels: list[DataFrame] = []
     for size in range(1, longest + 1):
-        runs = materialise(phrase_runs(docs, size, allowed, parts, held, burst, block))
-        level = materialise(merged(runs).where(F.col("n") >= min_count).select(
+        counted = merged(phrase_runs(docs, size, allowed, parts, held, burst, block))
+        if size == 1:
+            counted = every = materialise(counted)
+            totals = materialise(every.groupBy("lang").agg(F.sum("n").alias("total")))
+        level = materialise(counted.where(F.col("n") >= min_count).select(
             "lang", "phrase", F.lit(size).alias("size"), "n"))
         if size == 1:
-            totals = materialise(runs.groupBy("lang").agg(F.sum("n").alias("total")))
-        discard(runs)
+            discard(every)
         levels.append(level)
         rows = level.count()
         if not rows:
