@@ -26,6 +26,7 @@ SEASONAL_NAIVE = "SKU Seasonal-Naive-7-Day"
 BOOSTED = "SKU-Store Boosted Trees"
 HORIZON = 30
 RECENT = 30
+TASK_ROWS = 20_000  #: training rows of a task at least
 
 
 @dataclass(frozen=True)
@@ -95,9 +96,11 @@ def fit_boosted(train: DataFrame, params: BoostParams = BoostParams(),
                 features: list[str] = FEATURES):
     """Boosted regression trees on demand; row and column sampling as given.
 
-    Residuals are checkpointed into the shared folder every ten trees, so the plan stays short.
+    Residuals are checkpointed into the shared folder every ten trees, so the plan stays short. Each
+    level of each tree is a job, so short series go to few tasks (``TASK_ROWS`` rows each).
     """
     shared_dir(train.sparkSession)
+    train = train.coalesce(max(1, -(-train.count() // TASK_ROWS)))
     learner = GBTRegressor(
         featuresCol="features", labelCol="demand", predictionCol="prediction",
         maxIter=params.trees, stepSize=params.learning_rate, maxDepth=params.depth,
