@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.jobs import side_by_side
 from shelfwise.functions.ordering import number_rows
 from shelfwise.functions.storage import materialise
 from shelfwise.operators.pairs import BLOCK, blocks_needed, compare_blocks, distances
@@ -150,6 +151,7 @@ def calinski_harabasz(labelled: DataFrame) -> DataFrame:
 
 
 def cluster_scores(labelled: DataFrame) -> DataFrame:
-    """The three scores per run."""
-    return silhouette(labelled).join(davies_bouldin(labelled), "run").join(
-        calinski_harabasz(labelled), "run")
+    """The three scores per run, computed at the same time."""
+    scores = side_by_side(labelled.sparkSession, lambda score: materialise(score(labelled)),
+                          [silhouette, davies_bouldin, calinski_harabasz])
+    return scores[0].join(scores[1], "run").join(scores[2], "run")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfwise.functions.jobs import side_by_side
 from shelfwise.functions.ordering import number_rows, percentile_ranks
 from shelfwise.functions.storage import discard, materialise
 from shelfwise.operators.cluster_scores import cluster_scores
@@ -407,9 +408,13 @@ def label_runs(vectors: DataFrame, n_init: int = INITS) -> DataFrame:
     vectors = materialise(vectors)
     n = vectors.count()
     k_cut = min(4, n - 1)
-    runs = [("K-Means", kmeans_sweep(vectors, list(range(2, min(8, n - 1) + 1)), n_init)),
-            ("Hierarchical", hierarchical_clusters(vectors, LINKAGES, k_cut)),
-            ("DBSCAN", dbscan_clusters(vectors, EPS, min_samples_for(n)))]
+    # The models don't depend on each other, and their steps are small jobs.
+    models = {
+        "K-Means": lambda: kmeans_sweep(vectors, list(range(2, min(8, n - 1) + 1)), n_init),
+        "Hierarchical": lambda: hierarchical_clusters(vectors, LINKAGES, k_cut),
+        "DBSCAN": lambda: dbscan_clusters(vectors, EPS, min_samples_for(n))}
+    runs = zip(models, side_by_side(
+        vectors.sparkSession, lambda fit: materialise(fit()), models.values()), strict=True)
     labelled = reduce(DataFrame.unionByName, [
         labels.select(F.concat(F.lit(f"{model}|"), F.lit("linkage=" if model == "Hierarchical"
                                                          else ""), "run",

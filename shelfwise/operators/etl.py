@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.jobs import side_by_side
 from shelfwise.functions.ordering import number_rows
 from shelfwise.functions.storage import materialise
 from shelfwise.functions.versions import Versions
@@ -183,12 +184,15 @@ def reload_star(fact: DataFrame, out_dir: str, check: bool = True,
     star = build_star(fact)
     expected = fact.count()
     buckets = max(1, -(-expected // bucket_rows))
-    for name in STAR_TABLES:
+
+    def write(name: str) -> None:
         path = f"{out_dir}/{load}/{name}"
         if name in FACT_DAYS:
             _laid_out(star[name], path, _table_name(path), FACT_DAYS[name], buckets)
         else:
             star[name].write.parquet(path)
+
+    side_by_side(spark, write, STAR_TABLES)
     content = {"buckets": buckets, "tables": {n: f"{load}/{n}" for n in STAR_TABLES}}
     written = _read_version(spark, out_dir, content)
     for name in FACT_DAYS:

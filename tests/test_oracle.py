@@ -7,6 +7,8 @@ from oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+#: These run the whole chain with 400 trees, which takes minutes at any size.
+WHOLE_CHAIN = {"validate_schemas", "validate_disruption"}
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,7 @@ def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(ORACLES))
+@pytest.mark.parametrize("name", [n for n in ORACLES if n not in WHOLE_CHAIN])
 def test_matches_oracle(spark, duck, name):
     assert compare(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) == []
 
