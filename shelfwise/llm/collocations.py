@@ -4,10 +4,11 @@ A phrase of n words can be frequent only if its first and its last n - 1 words a
 counted by length, each length in one scan. What was frequent one word shorter goes to the tasks as
 a bit filter of bounded size: it lets every frequent phrase pass and few others, and the exact
 counts decide. Before phrases of three words the texts are cut down once to the stretches all of
-whose pairs of words pass; longer phrases are counted in these. Each task counts in HAT-tries: a shallow trie over word numbers with hash containers
-below, which burst into nodes when they grow. Beyond a number of entries the largest subtrees are
-spilled whole as sorted runs. Runs of all tasks are dealt into partitions of prefixes (language and
-first two words) and merged there by adding equal phrases.
+whose pairs of words pass; longer phrases are counted in these. Each task counts in HAT-tries: a
+shallow trie over word numbers with hash containers below, which burst into nodes when they grow.
+Beyond a number of entries the largest subtrees are spilled whole as sorted runs. Runs of all tasks
+are dealt into partitions of prefixes (language and first two words) and merged there by adding
+equal phrases.
 """
 
 from __future__ import annotations

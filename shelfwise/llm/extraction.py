@@ -2,12 +2,12 @@
 
 Every text leaf has a path of block tags from the root. Text length and punctuation are summed by
 path and divided by the path's leaves; the ratios are smoothed along the page, fused by product,
-and paths whose fused ratio reaches the ratios' standard deviation are content. The deepest
-element that holds most of the content paths' text is the article; all blocks inside it that no
-menu, form, advert and the like encloses are returned, headings and short paragraphs too. Of an
-<article> or <main> around it, and of the page's body if only that holds the content paths, the
-content paths and the headings before them are returned; an <h1> just before it all is its title. Content text inside <article> or <main>
-counts double.
+and paths whose fused ratio reaches the ratios' standard deviation are content. The deepest element
+that holds most of the content paths' text is the article; all blocks inside it that no menu, form,
+advert and the like encloses are returned, headings and short paragraphs too. Of an <article> or
+<main> around it, and of the page's body if only that holds the content paths, the content paths
+and the headings before them are returned; an <h1> just before it all is its title. Content text
+inside <article> or <main> counts double.
 """
 
 from __future__ import annotations

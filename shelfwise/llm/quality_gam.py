@@ -291,7 +291,7 @@ def centred(model: Model, sample: Sample) -> Model:
 
 def fit(spark: SparkSession, rows: np.ndarray, good: np.ndarray, shares: dict[int, int],
         rule: Rule) -> Model:
-    """The model of some labelled rows (features, 0 or 1) that stand for ``shares`` of each class."""
+    """The model of labelled rows (features, 0 or 1) that stand for ``shares`` of each class."""
     total, used = sum(shares.values()), len(good)
     stands = [shares.get(c, 0) / total / max(1e-9, float((good == c).mean())) if used else 1.0
               for c in (0, 1)]
@@ -349,7 +349,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "quality",
     """
     rows, good, shares = labelled_sample(docs, labels, label, rule)
     total = sum(shares.values())
-    model = fit(docs.sparkSession, rows, good, shares, rule) if len(set(good.tolist())) == 2 else None
+    both = len(set(good.tolist())) == 2
+    model = fit(docs.sparkSession, rows, good, shares, rule) if both else None
     even = shares.get(1, 0) / total if total else 0.0
     sent = docs.sparkSession.sparkContext.broadcast(model)  # features x bins and pairs x bins
 

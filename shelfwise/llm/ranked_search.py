@@ -340,7 +340,8 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10, block: int = Q
     searched ``block`` at a time, each block in one pass over all documents; ``postings`` bounds a
     shard; neither changes the result. Of ``docs`` only ``doc_id`` and ``text`` are read.
     """
-    items = materialise(items.select("item_id", F.col("text").cast("string").alias("text")).distinct())
+    text = F.col("text").cast("string").alias("text")
+    items = materialise(items.select("item_id", text).distinct())
     blocks = -(-items.count() // block)
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
     parts = []

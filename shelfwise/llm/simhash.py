@@ -2,12 +2,12 @@
 
 Copies share a fingerprint, so only distinct fingerprints are searched. Two fingerprints within
 ``radius`` bits agree in at least k of ``radius + k`` blocks of bits; a shard is what shares k
-blocks, with k by the number of rows. Each shard gets a BK-tree: a child hangs below its parent under its Hamming distance, and a
-search follows only the edges whose distance is within the radius of the query's own. A shard of
-more than ``shard_rows`` fingerprints is split into trees of about that size, and every query of
-the shard is sent to each, so no tree outgrows a task and no link is lost. A search gives a link
-to each tree component that it meets, not one to each neighbour, so groups of thousands of near
-copies give thousands of links, not millions.
+blocks, with k by the number of rows. Each shard gets a BK-tree: a child hangs below its parent
+under its Hamming distance, and a search follows only the edges whose distance is within the radius
+of the query's own. A shard of more than ``shard_rows`` fingerprints is split into trees of about
+that size, and every query of the shard is sent to each, so no tree outgrows a task and no link is
+lost. A search gives a link to each tree component that it meets, not one to each neighbour, so
+groups of thousands of near copies give thousands of links, not millions.
 """
 
 from __future__ import annotations
