@@ -275,10 +275,10 @@ def test_only_clusters_beside_merges_are_compared_again(spark, small_blocks, mon
         return pairs_of(left, right, blocks, every)
 
     monkeypatch.setattr(clustering, "_cluster_pairs", counted)
-    x = np.random.default_rng(2).normal(size=(26, 3))
+    x = np.random.default_rng(2).normal(size=(16, 3))
     got = clustering.hierarchical_clusters(frame(spark, x), ("complete",), k=4)
     assert labels_of(got) == greedy(x, "complete", 4)
-    assert compared[0] == (26, 26) and len(compared) > 1
+    assert compared[0] == (16, 16) and len(compared) > 1
     assert all(left < right for left, right in compared[1:])
 
 
