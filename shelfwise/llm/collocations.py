@@ -7,8 +7,8 @@ counts decide. Before phrases of three words the texts are cut down once to the
 whose pairs of words pass; longer phrases are counted in these. Each task counts in HAT-tries: a
 shallow trie over word numbers with hash containers below, which burst into nodes when they grow.
 Beyond a number of entries the largest subtrees are spilled whole as sorted runs. Runs of all tasks
-are dealt into partitions of prefixes (language and first two words) and merged there by adding
-equal phrases.
+are dealt by hash of language and phrase, so a frequent prefix is spread over all partitions, and
+merged there by adding equal phrases.
 """
 
 from __future__ import annotations
@@ -357,10 +357,8 @@ def cut_down(docs: DataFrame, allowed: BitFilter, pairs: BitFilter, longest: int
 
 
 def merged(runs: DataFrame) -> DataFrame:
-    """Equal phrases of all runs added up, in partitions of their first two words."""
-    prefix = F.substring_index("phrase", " ", 2).alias("prefix")
-    return runs.select("lang", prefix, "phrase", "n").repartition("lang", "prefix").groupBy(
-        "lang", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
+    """Equal phrases of all runs added up; no prefix is gathered whole in one partition."""
+    return runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def bit_filter(frequent: DataFrame, rows: int, max_bits: int = MAX_BITS) -> BitFilter:
