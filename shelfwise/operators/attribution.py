@@ -2,9 +2,9 @@
 
 A leaf pays its value when every feature on its path fits; a feature left out of the coalition
 counts with the share of training rows that took its branches (Lundberg et al., path-dependent
-values). What a tree attributes depends only on which of its cuts a row exceeds. So a batch is
-summed up for each tree by these answers, one bit for each cut, and every different set of answers
-is worked out once for all leaves together, weighted by its number of rows or handed back to them.
+values). What a small subtree attributes depends only on which features fit the path down to it
+and which of its own cuts a row exceeds. So the values of each such set of bits are worked out once
+for all leaves of the subtree, and a row looks them up once for each subtree.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from shelfwise.operators.features import FEATURES
 from shelfwise.operators.trees import TreeArrays
 
 TOGETHER = 100_000  #: rows of a task that are attributed at a time
-PART = 1000  #: answers whose leaves are looked up at a time
+PART = 8000  #: rows that are looked up at a time
+TAIL = 2  #: last levels of a tree whose leaves are looked up together
 
 
 def leaf_games(trees: TreeArrays):
@@ -69,68 +70,101 @@ def base_value(trees: TreeArrays) -> float:
     return float(sum(v * np.prod(bounds[:, 2]) for v, _, bounds in leaf_games(trees)))
 
 
+def leaf_routes(trees: TreeArrays, t: int):
+    """Yield per leaf of a tree, in the order of ``leaf_games``, its (node, went right) from above."""
+    stack = [(0, [])]
+    while stack:
+        node, route = stack.pop()
+        if trees.feature[t, node] < 0:
+            yield route
+        else:
+            stack += [(int(trees.left[t, node]), [*route, (node, False)]),
+                      (int(trees.right[t, node]), [*route, (node, True)])]
+
+
 class TreeGame:
-    """All leaves of one tree, their paths filled up to one length with features that always fit.
+    """Values of one tree by subtree: all leaves of its ``TAIL`` last levels are looked up at once.
 
-    Such a feature neither gets a value nor changes another's.
+    What a subtree attributes depends on which features fit the path down to it, one bit each, and
+    which of its own cuts a row exceeds, one bit each.
     """
 
-    def __init__(self, trees: TreeArrays, t: int):
+    def __init__(self, trees: TreeArrays, t: int, width: int):
         one = TreeArrays(*(getattr(trees, f.name)[t:t + 1] for f in fields(TreeArrays)))
-        leaves = [leaf for leaf in leaf_games(one) if leaf[1]]
-        inner = np.flatnonzero(one.feature[0] >= 0)
-        self.cuts = [(int(one.feature[0, i]), float(one.threshold[0, i])) for i in inner]
-        if not leaves:
-            return
-        m = max(len(names) for _, names, _ in leaves)
-        self.of = np.zeros((len(leaves), m), np.int64)
-        bounds = np.tile([-np.inf, np.inf, 1.0], (len(leaves), m, 1))
-        for i, (_, names, own) in enumerate(leaves):
-            self.of[i, :len(names)], bounds[i, :len(names)] = names, own
-        self.low, self.high = bounds[:, :, 0], bounds[:, :, 1]
-        self.tables = outcome_tables(np.array([v for v, _, _ in leaves]), bounds[:, :, 2])
-
-    def answers(self, x: np.ndarray) -> np.ndarray:
-        """Rows of 64 bits each, as many as the tree's cuts need."""
-        packed = np.zeros((len(x), -(-len(self.cuts) // 64) or 1), np.uint64)
-        for i, (feature, cut) in enumerate(self.cuts):
-            packed[:, i // 64] |= (x[:, feature] > cut).astype(np.uint64) << np.uint64(i % 64)
-        return packed
-
-    def values(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros_like(x)
-        leaf, m = np.arange(len(self.of)), self.of.shape[1]
-        onto = np.zeros((self.of.size, x.shape[1]))
-        onto[np.arange(self.of.size), self.of.ravel()] = 1
-        for start in range(0, len(x), PART):
-            part = x[start:start + PART][:, self.of]
-            fits = (part > self.low) & (part <= self.high)
-            outcome = fits @ (1 << np.arange(m))
-            total[start:start + PART] = self.tables[leaf, outcome].reshape(len(part), -1) @ onto
-        return total
+        leaves = [(value, names, bounds, route) for (value, names, bounds), route in zip(
+            leaf_games(one), leaf_routes(one, 0), strict=True) if names]
+        depth = max((len(route) for *_, route in leaves), default=0)
+        feature, cut = one.feature[0], one.threshold[0]
+        tables: list = [None] * len(leaves)
+        for m in {len(names) for _, names, _, _ in leaves}:
+            same = [i for i, leaf in enumerate(leaves) if len(leaf[1]) == m]
+            found = outcome_tables(np.array([leaves[i][0] for i in same]),
+                                   np.array([leaves[i][2][:, 2] for i in same]))
+            for i, table in zip(same, found, strict=True):
+                tables[i] = table
+        groups: dict[tuple, list[int]] = {}
+        for i, (*_, route) in enumerate(leaves):
+            groups.setdefault(tuple(route[:max(0, depth - TAIL)]), []).append(i)
+        self.pays = []  # for each group [outcome, feature]
+        bits: list[tuple] = []  # group, bit, feature, low, high: set where a value is in (low, high]
+        for g, (above, members) in enumerate(groups.items()):
+            limits: dict[int, tuple] = {}
+            for node, right in above:
+                low, high = limits.get(feature[node], (-np.inf, np.inf))
+                limits[feature[node]] = ((max(low, cut[node]), high) if right
+                                         else (low, min(high, cut[node])))
+            inner = sorted({n for i in members for n, _ in leaves[i][3][len(above):]})
+            on_path, below = list(limits), {n: len(limits) + j for j, n in enumerate(inner)}
+            bits += [(g, j, f, *limits[f]) for j, f in enumerate(on_path)]
+            bits += [(g, j, feature[n], cut[n], np.inf) for n, j in below.items()]
+            outcomes = np.arange(2 ** (len(limits) + len(inner)))
+            is_set = [(outcomes >> j & 1).astype(bool) for j in range(len(limits) + len(inner))]
+            pays = np.zeros((len(outcomes), width))
+            for i in members:
+                _, names, _, route = leaves[i]
+                fits = {f: is_set[on_path.index(f)] if f in limits else True for f in names}
+                for node, right in route[len(above):]:
+                    fits[feature[node]] = fits[feature[node]] & (is_set[below[node]] == right)
+                own = sum(fits[f].astype(int) << j for j, f in enumerate(names))
+                pays[:, names] += tables[i][own]
+            self.pays.append(pays)
+        # For each feature its cuts and, by the number of them exceeded, the bits of each group.
+        self.places = []
+        kind = np.min_scalar_type(max((len(pays) for pays in self.pays), default=1))
+        for f in sorted({f for _, _, f, _, _ in bits}):
+            cuts = np.unique(cut[feature == f])
+            lower, upper = np.r_[-np.inf, cuts], np.r_[cuts, np.inf]
+            own = np.zeros((len(lower), len(self.pays)), kind)
+            for g, j, _, low, high in (b for b in bits if b[2] == f):
+                own[(lower >= low) & (upper <= high), g] += 1 << j
+            self.places.append((f, cuts, own))
+
+    def add_values(self, columns: np.ndarray, total: np.ndarray) -> None:
+        """Add the values of the rows, which ``columns`` holds feature by feature, to ``total``."""
+        many = columns.shape[1]
+        outcome = 0
+        for feature, cuts, bits in self.places:
+            place = np.zeros(many, np.intp)
+            for cut in cuts:
+                place += columns[feature] > cut
+            outcome = bits.take(place, axis=0) + outcome
+        for g, pays in enumerate(self.pays):
+            total += pays.take(outcome[:, g], axis=0)
 
 
 class Attributor:
     """Shapley values of batches of rows."""
 
-    def __init__(self, trees: TreeArrays):
-        self.trees = trees
-
-    def _by_answers(self, x: np.ndarray):
-        """For each tree its values of the different answers, and the answers of each row."""
-        for t in range(self.trees.feature.shape[0]):
-            game = TreeGame(self.trees, t)
-            if game.cuts:
-                packed = game.answers(x)
-                key = packed[:, 0] if packed.shape[1] == 1 else packed.view(
-                    [("", np.uint64)] * packed.shape[1]).ravel()
-                _, first, of = np.unique(key, return_index=True, return_inverse=True)
-                yield game.values(x[first]), of
+    def __init__(self, trees: TreeArrays, width: int = len(FEATURES)):
+        self.games = [TreeGame(trees, t, width) for t in range(trees.feature.shape[0])]
 
     def values(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros_like(x)
-        for found, of in self._by_answers(x):
-            total += found[of]
+        for start in range(0, len(x), PART):
+            part = slice(start, start + PART)
+            columns = np.ascontiguousarray(x[part].T)
+            for game in self.games:
+                game.add_values(columns, total[part])
         return total
 
 
@@ -141,9 +175,11 @@ def feature_attribution(trees: TreeArrays, rows: DataFrame,
     shared = spark.sparkContext.broadcast(trees)
 
     def partial_sums(batches):
-        attributor, waiting, many = Attributor(shared.value), [], 0
+        attributor, waiting, many = None, [], 0
 
         def sums():
+            nonlocal attributor
+            attributor = attributor or Attributor(shared.value, len(features))
             size = np.abs(attributor.values(np.concatenate(waiting))).sum(axis=0)
             return pd.DataFrame({"feature": features, "size": size, "n": many})
 

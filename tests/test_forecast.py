@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import attribution, features, forecast
-from shelfwise.operators.trees import export_trees
+from shelfwise.operators.trees import TreeArrays, export_trees
 
 
 def series(spark, demands, store="s", start=date(2024, 1, 1), skip=()):
@@ -155,6 +155,38 @@ def test_attribution_matches_brute_force_and_adds_up(fitted):
     assert np.allclose(values[7], brute_force(trees, x[7]))
 
 
+def full_trees(depth, trees=3):
+    """Complete trees with random cuts, some of them on features cut before."""
+    rng = np.random.default_rng(8)
+    many = 2 ** (depth + 1) - 1
+    node, inner = np.arange(many), np.arange(many) < 2 ** depth - 1
+    grid = lambda row: np.tile(row, (trees, 1))
+    feature = np.where(inner, rng.integers(0, 13, (trees, many)), -1)
+    cover = np.zeros((trees, many))
+    cover[:, ~inner] = rng.integers(1, 9, (trees, 2 ** depth))
+    for n in node[inner][::-1]:
+        cover[:, n] = cover[:, 2 * n + 1] + cover[:, 2 * n + 2]
+    return TreeArrays(feature, rng.normal(size=(trees, many)), grid(np.where(inner, 2 * node + 1, -1)),
+                      grid(np.where(inner, 2 * node + 2, -1)), rng.normal(size=(trees, many)), cover)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 3, 6])
+def test_subtrees_pay_what_their_leaves_pay(depth):
+    """Each leaf on its own, by its bounds; a tree of 64 leaves is looked up 16 times a row."""
+    trees = full_trees(depth)
+    x = np.random.default_rng(9).normal(size=(200, 13))
+    x[:50] = trees.threshold[0, 0]  # on a cut
+    want = np.zeros_like(x)
+    for value, names, bounds in attribution.leaf_games(trees):
+        if names:
+            fits = (x[:, names] > bounds[:, 0]) & (x[:, names] <= bounds[:, 1])
+            table = attribution.outcome_tables(np.array([value]), bounds[None, :, 2])[0]
+            want[:, names] += table[fits @ (1 << np.arange(len(names)))]
+    made = attribution.Attributor(trees)
+    assert np.allclose(made.values(x), want, atol=1e-12)
+    assert all(len(game.pays) <= 2 ** max(0, depth - 2) for game in made.games)
+
+
 def test_attribution_table(fitted):
     _, train, _, _, trees = fitted
     sample = train.limit(50)
