@@ -110,11 +110,16 @@ class Workspace:
 
     @cached_property
     def results(self) -> dict[str, DataFrame]:
-        """Every result table of the whole chain, with the one fitted model."""
+        """Every result table of the whole chain, with the one fitted model.
+
+        The model and the clusterings are made at the same time, each in one thread; what both
+        need is there before.
+        """
+        _ = self.split, self.vectors
         return run_pipeline(self.fact, new_folder(self.spark, "results"), QUERY_PARAMS,
-                            QUERY_INITS, check=False, model=self.model,
-                            comparison=self.comparison, labelled=self.labelled,
-                            attributed=self.attribution)
+                            QUERY_INITS, check=False, model=lambda: self.model,
+                            comparison=lambda: self.comparison, labelled=lambda: self.labelled,
+                            attributed=lambda: self.attribution)
 
 
 _open: dict[tuple[str, str], Workspace] = {}

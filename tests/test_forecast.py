@@ -1,5 +1,6 @@
 """Features, metrics, tree export, recursion and attribution."""
 
+import threading
 from datetime import date, timedelta
 from itertools import combinations
 from math import factorial
@@ -8,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import attribution, features, forecast
+from shelfwise.operators import attribution, disruption, features, forecast
 from shelfwise.operators.trees import TreeArrays, export_trees
+from shelfwise.plans.pipeline import run_pipeline
 
 
 def series(spark, demands, store="s", start=date(2024, 1, 1), skip=()):
@@ -187,6 +189,29 @@ def test_subtrees_pay_what_their_leaves_pay(depth):
     assert all(len(game.pays) <= 2 ** max(0, depth - 2) for game in made.games)
 
 
+def test_chain_fits_trees_beside_what_needs_none(spark, monkeypatch, tmp_path):
+    """The fit waits here until the clusterings and the other tables of the fact have begun."""
+    begun = {name: threading.Event() for name in ("disruption", "finance")}
+
+    def fitting(*_):
+        assert all(event.wait(60) for event in begun.values())
+        raise InterruptedError("fit was reached")
+
+    def starting(name):
+        def start(*_):
+            begun[name].set()
+            raise InterruptedError("begun")
+        return start
+
+    monkeypatch.setattr(forecast, "fit_boosted", fitting)
+    monkeypatch.setattr(disruption, "disruption_detection", starting("disruption"))
+    monkeypatch.setattr(forecast, "naive_baselines", starting("finance"))
+    daily = series(spark, [5 + i % 7 for i in range(200)])
+    monkeypatch.setattr(features, "daily_demand_drivers", lambda fact: daily)
+    with pytest.raises(InterruptedError, match="fit was reached"):
+        run_pipeline(daily, str(tmp_path / "out"))
+
+
 def test_attribution_table(fitted):
     _, train, _, _, trees = fitted
     sample = train.limit(50)
