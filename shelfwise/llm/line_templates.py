@@ -14,6 +14,7 @@ witness are one group. All other documents are one group more; equal texts count
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -55,7 +56,6 @@ class Leaf:
 
     def __init__(self, width: int, similarity: float):
         self.numbers: dict[str, int] = {VARIABLE: 0}
-        self.names = [VARIABLE]
         self.rows = np.zeros((8, width), np.int32)
         self.first: list[int] = []
         self.need = similarity * width
@@ -64,10 +64,7 @@ class Leaf:
         """Place of the template that the line joins or starts."""
         codes = np.empty(len(tokens), np.int32)
         for i, token in enumerate(tokens):
-            number = self.numbers.setdefault(token, len(self.names))
-            if number == len(self.names):
-                self.names.append(token)
-            codes[i] = number
+            codes[i] = self.numbers.setdefault(token, len(self.numbers))
         many = len(self.first)
         if many:
             agree = ((self.rows[:many] == codes) & (codes > 0)).sum(axis=1)
@@ -81,9 +78,6 @@ class Leaf:
         self.first.append(own)
         return many
 
-    def template(self, place: int) -> str:
-        return " ".join(self.names[i] for i in self.rows[place])
-
 
 def signed(number: int) -> int:
     return number - (number >> 63 << 64)
@@ -119,63 +113,97 @@ def document_lines(docs: DataFrame, min_tokens: int, depth: int, texts: bool) ->
         run, f"leaf long, line long, {third}, raw long, tokens int")
 
 
-def merge_templates(lines: DataFrame, similarity: float) -> DataFrame:
-    """``leaf, line, template_line, masked``: the first line of each line's template, and it.
+def blocks(tokens: list[str], depth: int, similarity: float) -> list[int]:
+    """Hashes of parts of a line, one of which it has in common with any line it can merge with.
 
-    Lines (``leaf, chunk, line, masked``) meet those of their leaf and chunk in the order of their
-    text. A task keeps the lines of one chunk at a time.
+    Beyond the leading tokens, which the leaf has in common, the places are cut into one part more
+    than may differ, so one part at least agrees in full. A variable field agrees with nothing.
+    """
+    most = len(tokens) - math.ceil(similarity * len(tokens)) - tokens[:depth].count(VARIABLE)
+    rest = tokens[depth:]
+    if most < 0:
+        return []
+    if len(rest) <= most:  # the leading tokens are enough
+        return [0]
+    ends = [len(rest) * i // (most + 1) for i in range(most + 2)]
+    parts = [rest[start:end] for start, end in zip(ends, ends[1:], strict=False)]
+    return [signed(xxhash.xxh64_intdigest("\0".join([str(i), *part]), SEED))
+            for i, part in enumerate(parts) if VARIABLE not in part]
+
+
+def separate_parts(texts: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """``leaf, line, chunk``: the lines that have a block in common with another of their leaf.
+
+    Lines of different chunks can't merge, as a template keeps only tokens of its first line. So
+    the templates of a leaf are those of its chunks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, leaf, members = None, None, []
+        for batch in sliced(batches):
+            leaves, own, found = [], [], []
+            for leaf, line, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for block in blocks(text.split(" "), depth, similarity):
+                    leaves.append(leaf)
+                    own.append(line)
+                    found.append(block)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in (leaves, own, found)], ["leaf", "line", "block"])
+
+    shared = materialise(texts.select("leaf", "line", "masked").mapInArrow(
+        run, "leaf long, line long, block long").withColumn("node", F.xxhash64("leaf", "line")))
+    first = shared.groupBy("leaf", "block").agg(
+        F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    edges = shared.join(first, ["leaf", "block"]).select("a", F.col("node").alias("b"))
+    joined = components(edges.where("a <> b").distinct())
+    return shared.select("leaf", "line", "node").distinct().join(joined, "node").select(
+        "leaf", "line", F.col("root").alias("chunk"))
 
-        def done() -> pa.RecordBatch:
-            masked = [leaf.template(i) for i in range(len(leaf.first))] if leaf else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key[0]] * len(members), pa.int64()),
-                 pa.array([own for own, _ in members], pa.int64()),
-                 pa.array([leaf.first[i] for _, i in members], pa.int64()),
-                 pa.array([masked[i] for _, i in members], pa.string())],
-                ["leaf", "line", "template_line", "masked"])
 
+def merge_templates(lines: DataFrame, similarity: float) -> DataFrame:
+    """``leaf, line, template``: the first line of each line's template.
+
+    Lines (``leaf, chunk, line, masked``) meet those of their leaf and chunk in the order of their
+    text. A task keeps the templates of one chunk at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, leaf = None, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("leaf", "chunk", "line", "masked")]
-            for a, chunk, own, text in zip(*columns, strict=True):
+            first = []
+            for a, chunk, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = text.split(" ")
                 if (a, chunk) != key:
-                    if members:
-                        yield done()
-                    tokens = text.split(" ")
-                    key, leaf, members = (a, chunk), Leaf(len(tokens), similarity), []
-                members.append((own, leaf.add(text.split(" "), own)))
-        if members:
-            yield done()
+                    key, leaf = (a, chunk), Leaf(len(tokens), similarity)
+                first.append(leaf.first[leaf.add(tokens, own)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(first, pa.int64())],
+                ["leaf", "line", "template"])
 
     return lines.repartition("leaf", "chunk").sortWithinPartitions(
         "leaf", "chunk", "masked", "line").select("leaf", "chunk", "line", "masked").mapInArrow(
-        run, "leaf long, line long, template_line long, masked string")
+        run, "leaf long, line long, template long")
 
 
 def line_templates(docs: DataFrame, lines: DataFrame, often: DataFrame, min_tokens: int,
                    depth: int, similarity: float, chunk_lines: int) -> DataFrame:
     """``leaf, line, template`` of the lines in leaves that hold several lines.
 
-    A leaf with more than ``chunk_lines`` lines is merged in chunks, then the chunks' templates.
+    A leaf with more than ``chunk_lines`` lines is taken apart into chunks of lines that can merge;
+    this decides only where lines meet, not their templates.
     """
     distinct = lines.join(often, "leaf").select("leaf", "line").distinct()
     mixed = materialise(distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     texts = document_lines(docs, min_tokens, depth, True).join(mixed, "leaf")
     texts = texts.groupBy("leaf", "line", "n").agg(F.min("masked").alias("masked"))
-    chunk = F.pmod(F.xxhash64("line"), F.ceil(F.col("n") / chunk_lines))
-    first = materialise(merge_templates(texts.withColumn("chunk", chunk), similarity))
-    kept = first.groupBy("leaf", "template_line").agg(F.min("masked").alias("masked"))
-    count = kept.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    again = kept.join(mixed.where(F.col("n") > chunk_lines).select("leaf"), "leaf").join(
-        count, "leaf").select("leaf", F.col("template_line").alias("line"), "masked",
-                              chunk.alias("chunk"))
-    second = materialise(merge_templates(again, similarity)).select(
-        "leaf", F.col("line").alias("template_line"), F.col("template_line").alias("merged"))
-    return first.join(second, ["leaf", "template_line"], "left").select(
-        "leaf", "line", F.coalesce("merged", "template_line").alias("template"))
+    whole = F.lit(0).cast("long").alias("chunk")
+    if not mixed.where(F.col("n") > chunk_lines).isEmpty():
+        texts = materialise(texts)
+        large = texts.where(F.col("n") > chunk_lines)
+        apart = large.join(separate_parts(large, depth, similarity), ["leaf", "line"])
+        texts = texts.where(F.col("n") <= chunk_lines).select("*", whole).unionByName(apart)
+    else:
+        texts = texts.select("*", whole)
+    return materialise(merge_templates(texts, similarity))
 
 
 def unrelated_groups(by_doc: DataFrame, spread: DataFrame, min_docs: int,

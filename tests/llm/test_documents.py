@@ -167,6 +167,50 @@ def test_templates_of_one_leaf_are_merged(spark, chunk_lines):
     assert all(r["lines_dropped"] == 1 for r in got)
 
 
+def greedy(lines, similarity):
+    """Templates of one leaf by plain Python: the first line of each line's template."""
+    templates, first = [], {}
+    for line in sorted(lines):
+        tokens = line.split(" ")
+        agree = [sum(a == b != "<*>" for a, b in zip(t, tokens, strict=True)) for t, _ in templates]
+        if agree and max(agree) >= similarity * len(tokens):
+            template, begun = templates[agree.index(max(agree))]
+            template[:] = [a if a == b else "<*>" for a, b in zip(template, tokens, strict=True)]
+        else:
+            begun = line
+            templates.append((tokens[:], line))
+        first[line] = begun
+    return first
+
+
+@pytest.mark.parametrize("chunk_lines", [4096, 40, 6])
+@pytest.mark.parametrize("similarity", [0.8, 0.7, 0.3])
+def test_templates_do_not_depend_on_chunks(spark, chunk_lines, similarity):
+    """Lines of few different words, some with variable fields, of one leaf of seven tokens."""
+    rng = np.random.default_rng(3)
+    tails = rng.choice([*"abcdefgh", "<*>"], (300, 4))
+    lines = {" ".join(["one", "two", "three", *tail]) for tail in tails.tolist()}
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(sorted(lines))],
+                                 "doc_key long, text string").repartition(3)
+    rows = line_templates.document_lines(docs, 1, 3, False)
+    got = line_templates.line_templates(docs, rows, rows.select("leaf").distinct(), 1, 3, similarity,
+                                        chunk_lines).collect()
+    name = {line_templates.leaf_and_hash(line.split(), 3)[1]: line for line in lines}
+    found = {line: line for line in lines} | {name[r["line"]]: name[r["template"]] for r in got}
+    assert found == greedy(lines, similarity)
+
+
+@pytest.mark.parametrize("chunk_lines", [4096, 64, 16])
+def test_a_recurring_line_of_a_large_leaf_goes(spark, chunk_lines):
+    """Eight variants among 400 lines of their leaf that can't merge with any."""
+    same = "one two three {} five six seven eight nine ten"
+    docs = [(i, edge_tables.words(i, 30) + "\none two three " + edge_tables.words(5000 + i, 7)
+             + (f"\n{same.format(chr(97 + i // 50))}" if i % 50 == 0 else "")) for i in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = line_templates.drop_template_lines(frame, chunk_lines=chunk_lines).collect()
+    assert {r["doc_id"] for r in got if r["lines_dropped"]} == set(range(0, 400, 50))
+
+
 def test_short_lines_recur_too(spark):
     """Lines of one and two tokens, also of a script without spaces, go by exact match."""
     short = ["Les.", "And ornd.", "版权所有，未经许可不得转载。"]
