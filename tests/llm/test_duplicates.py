@@ -188,6 +188,52 @@ def test_every_place_of_a_passage_is_compared():
         (90, 145, 90, 145, 1.0), (240, 295, 90, 145, 1.0)]
 
 
+def best_alike(a, b, least):
+    """Highest Jaccard of stretches between common places, of sequences without repeats."""
+    place = {x: i for i, x in enumerate(b.tolist())}
+    both = [(i, place[x]) for i, x in enumerate(a.tolist()) if x in place]
+    best = 0
+    for u, (i, m) in enumerate(both):
+        for many, (j, n) in enumerate(both[u:], 1):
+            if min(j - i, n - m) >= least - 1:
+                best = max(best, many / (j - i + n - m + 2 - many))
+    return best
+
+
+def test_an_alike_stretch_among_many_edits_is_found():
+    """Texts edited all over are not alike as a whole, but some of their stretches are."""
+    rng = np.random.default_rng(11)
+    alike = 0
+    for case in range(60):
+        words = [b"w%d" % i for i in range(260)]
+        other = [w if draw > 0.05 else b"x%d" % i
+                 for i, (w, draw) in enumerate(zip(words, rng.random(260), strict=True))]
+        if case % 2:
+            del other[130:133]
+        a, b = (passages.shingle_hashes(x) for x in (words, other))
+        true = best_alike(a, b, 46)
+        found = passages.alike_passages(a, b, 46, 0.8)
+        assert bool(found) == (true >= 0.8)
+        for i, j, m, n, s in found:
+            one, two = a[i:j + 1], b[m:n + 1]
+            assert min(len(one), len(two)) >= 46 and s >= 0.8
+            assert s == len(np.intersect1d(one, two)) / len(np.union1d(one, two))
+        alike += true >= 0.8
+    assert 10 < alike < 60
+
+
+def test_windows_of_texts_side_by_side_are_those_of_each():
+    rng = np.random.default_rng(7)
+    for case in range(40):
+        texts = [rng.integers(0, (3, 50, 2 ** 62)[case % 3], n).astype(np.uint64)
+                 for n in rng.integers(0, 150, 4)]
+        bounds = np.r_[0, np.cumsum([len(x) for x in texts])]
+        found = passages.windows_of_many(np.concatenate(texts), bounds, 20)
+        assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(
+            (k, left + bounds[k], pivot + bounds[k], right + bounds[k])
+            for k, x in enumerate(texts) for left, pivot, right in passages.stacked_windows(x, 20))
+
+
 def planted(spark):
     texts = {i: edge_tables.words(1000 + i, 150).split() for i in range(40)}
     passage = edge_tables.words(77, 60).split()
