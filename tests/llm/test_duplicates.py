@@ -289,3 +289,27 @@ def test_a_very_long_repetitive_text_is_one_pass():
     begun = time.process_time()
     found = passages.compact_windows(np.zeros(400_000, np.uint64), 46)
     assert len(found) == 400_000 - 45 and time.process_time() - begun < 20
+
+
+def test_a_document_with_a_passage_has_rows_of_its_own(spark):
+    found = passages.near_duplicate_passages(planted(spark))
+    got = passages.from_both_sides(found).collect()
+    assert {r["doc_id"] for r in got} == set(range(13))  # 0 and 11 are only other_id in the pairs
+    assert sorted(map(tuple, found.collect())) == sorted(
+        tuple(r) for r in got if r["doc_id"] > r["other_id"])
+    for r in got:
+        if r["doc_id"] < 10:
+            assert (r["start"], r["n_words"]) == (20 + r["doc_id"], 60)
+        if r["other_id"] < 10:
+            assert (r["other_start"], r["other_n_words"]) == (20 + r["other_id"], 60)
+
+
+def test_words_of_each_text_once_and_none_of_short_ones(spark):
+    texts = [" ".join(["w"] * 49 + [str(i)]) for i in range(3)]  # 99 bytes, 50 words
+    spaced = "\t" + texts[0].replace(" ", " \n\x0b") + "\r"
+    rows = [*enumerate([*texts, texts[0], spaced, spaced, " ".join(["long" * 9] * 49)] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = passages.near_duplicate_passages(docs).where("whole_copy").collect()
+    assert sorted((r["doc_id"], r["other_id"], r["n_words"]) for r in got) == [
+        (3, 0, 50), (5, 4, 50), (7, 0, 50), (8, 1, 50), (9, 2, 50), (10, 0, 50), (11, 4, 50),
+        (12, 4, 50)]
