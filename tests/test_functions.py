@@ -88,3 +88,14 @@ def test_pct_rank_with_one_hot_value(spark, many_slices):
     got = pct_rank(df, "v", True, "p", ["id"]).agg(
         F.min("p").alias("low"), F.max("p").alias("high"), F.count("p").alias("n")).first()
     assert (got["low"], got["high"], got["n"]) == (500.5 / 3000, 1.0, 3000)
+
+
+def test_a_step_written_alone_leaves_the_setting_as_it_was(spark):
+    from shelfwise.functions.storage import materialise_alone
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for value in ("false", "true"):
+        spark.conf.set(name, value)
+        step = materialise_alone(spark.range(50).repartition("id"))
+        assert spark.conf.get(name) == value and step.count() == 50
+    spark.conf.unset(name)
