@@ -313,3 +313,87 @@ def test_words_of_each_text_once_and_none_of_short_ones(spark):
     assert sorted((r["doc_id"], r["other_id"], r["n_words"]) for r in got) == [
         (3, 0, 50), (5, 4, 50), (7, 0, 50), (8, 1, 50), (9, 2, 50), (10, 0, 50), (11, 4, 50),
         (12, 4, 50)]
+
+
+def test_windows_of_several_functions_that_hold_one_stretch():
+    """Every stretch of 10 places whose minima two texts share under 3 functions gives one key."""
+    rng = np.random.default_rng(3)
+    met = 0
+    for case in range(30):
+        passage = rng.integers(0, 2 ** 62, 24)
+        found, texts = [], []
+        for _ in range(2):
+            ends = rng.integers(0, (2 ** 62, 5)[case % 2], (2, 30))
+            texts.append(np.r_[ends[0], passage, ends[1]].astype(np.uint64))
+            rows = []
+            for function in range(6):
+                own = passages.permuted(texts[-1], function)
+                rows += [(own[c], left, c, right)
+                         for left, c, right in passages.stacked_windows(own, 10)]
+            columns = [np.array(x) for x in zip(*rows, strict=True)]
+            key, c, lo, hi = passages.agreeing(
+                columns[0].astype(np.uint64).view(np.int64), *columns[1:], 3, 10)
+            assert (hi - lo >= 9).all() and (c < len(texts[-1])).all()
+            found.append(set(key.tolist()))
+        minima = [[passages.permuted(t[i:i + 10], f).min() for f in range(6)]
+                  for t in texts for i in range(len(t) - 9)]
+        one, two = (np.array(x) for x in (minima[:len(minima) // 2], minima[len(minima) // 2:]))
+        shared = ((one[:, None] == two).sum(axis=2) >= 3).any()
+        assert not shared or found[0] & found[1]
+        met += shared
+    assert met == 30
+
+
+def test_kinds_and_shared_codes():
+    rng = np.random.default_rng(4)
+    for high in (3, 30, 10 ** 9):
+        codes = rng.integers(0, high, 80).astype(np.uint64)
+        assert passages.least_kinds(codes, 12) == min(
+            len(set(codes[i:i + 12].tolist())) for i in range(69))
+    sets = [np.unique(rng.integers(0, 40, n).astype(np.uint64)) for n in (5, 30, 30, 60, 60)]
+    kinds = np.array([4, 10, 12, 20, 20])
+    good = passages.pairs_alike_enough(sets, kinds, 0.8)
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets):
+            assert good[i, j] == (len(np.intersect1d(one, two)) >= 0.8 * max(kinds[i], kinds[j]))
+
+
+def test_no_two_texts_with_a_passage_are_lost(spark, monkeypatch):
+    """Without the links of neighbours all pairs are found, those of a class by the first of it."""
+    monkeypatch.setattr(passages, "BLOCK", 2)
+    monkeypatch.setattr(passages, "FEW", 3)
+    plain = passages.window_links
+
+    def few(found, sample):
+        links, sizes, shared = plain(found, sample)
+        return links.where("function = 8"), sizes, shared
+
+    monkeypatch.setattr(passages, "window_links", few)
+    got = [r for r in passages.near_duplicate_passages(planted(spark)).collect()
+           if not r["whole_copy"]]
+    linked = roots_of(range(60), [(r["doc_id"], r["other_id"]) for r in got])
+    assert all(linked[i] == 0 for i in range(10)) and all(linked[i] == i for i in range(13, 60))
+    for r in got:
+        if r["doc_id"] < 10:
+            assert (r["start"], r["n_words"]) == (20 + r["doc_id"], 60)
+
+
+def test_a_passage_whose_partners_differ_by_function_is_found(spark):
+    """Each half of a passage stands in texts between two others, too; these two share all of it."""
+    rng = np.random.default_rng(9)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10 ** 9, n)]
+    rows, pairs = [], []
+    for case in range(12):
+        passage = new(56)
+        pairs.append((len(rows), len(rows) + 1))
+        texts = [new(40) + passage + new(40), new(40) + passage + new(40)]
+        for k in range(25):  # parts of the passage, each too short to be one
+            at = int(rng.integers(0, 30))
+            texts.append(new(60) + passage[at:at + 26] + new(60))
+        rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = passages.near_duplicate_passages(docs).collect()
+    words = [t.split() for _, t in rows]
+    fives = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in words]
+    assert all(len(fives[r["doc_id"]] & fives[r["other_id"]]) >= 37 for r in got)
+    assert {(r["other_id"], r["doc_id"]) for r in got} == set(pairs)
